@@ -43,6 +43,9 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
             c = (F.round(c.cast("double"), digits) + F.lit(0.0)).alias(f.name)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint").alias(f.name)
+        elif isinstance(f.dataType, T.DateType):
+            # dates travel as timestamps: pandas turns DuckDB DATE into datetime64
+            c = c.cast("timestamp_ntz").alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
