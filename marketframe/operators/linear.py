@@ -30,7 +30,7 @@ N_SPLITS = 5
 
 
 # ------------------------------------------------------------------ Gram rows
-WIDE_GRAM = 20  # above this many variables the pairwise aggregates are built in pandas partials
+WIDE_GRAM = 8  # above this many variables the Gram is built from numpy partials (one BLAS product per batch)
 
 
 def gram(df: DataFrame, features: Sequence[str], target: str, by: Sequence[str]) -> DataFrame:

@@ -54,11 +54,32 @@ def target_correlation(df: DataFrame, features: Sequence[str], target: str = "ta
     return long.withColumns({"abs_corr": F.abs("corr"), "rank": F.row_number().over(w).cast("bigint")})
 
 
-def correlation_matrix(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """AG-04: all k(k-1)/2 pairwise correlations in one aggregate pass, long form
+def correlation_matrix(df: DataFrame, features: Sequence[str], by: Sequence[str] = (),
+                       complete: bool = False) -> DataFrame:
+    """AG-04: all k(k-1)/2 pairwise correlations, long form
     ``(by..., feature_a, feature_b, corr)`` with ``feature_a`` before ``feature_b``
-    in the given order."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
+    in the given order; NULL for a constant column.
+
+    Default: pairwise-complete, one aggregate per pair (pandas semantics with NULLs).
+    ``complete=True`` (rows known to have no NULLs, e.g. a training frame) reads
+    every pair off one Gram row per group - the fast path for wide sets."""
+    feats = list(features)
+    if complete:
+        from marketframe.operators.linear import gram
+        m = len(feats)
+        g = gram(df, feats[:-1], feats[-1], by)
+
+        def at(i: int, j: int):
+            return F.col("cm")[i * m - i * (i - 1) // 2 + (j - i)]
+
+        items = []
+        for i in range(m):
+            for j in range(i + 1, m):
+                den = F.sqrt(at(i, i) * at(j, j))
+                items.append(F.struct(F.lit(feats[i]).alias("feature_a"), F.lit(feats[j]).alias("feature_b"),
+                                      F.when(den > 0, at(i, j) / den).alias("corr")))
+        return g.select(*by, F.inline(F.array(*items)))
+    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
     names = [f"{a}|{b}" for a, b in pairs]
     wide = df.groupBy(*by).agg(*[corr_safe(a, b).alias(n) for (a, b), n in zip(pairs, names)])
     long = wide.unpivot(list(by), names, "pair", "corr")

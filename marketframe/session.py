@@ -49,3 +49,11 @@ def checkpoint(df, eager: bool = True):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for intermediate tables."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/marketframe-{name}-{uuid.uuid4().hex[:12]}"
