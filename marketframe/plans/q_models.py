@@ -256,3 +256,18 @@ def adf_bars(spark, sf_dir):
 
 
 __all__ = ["rows"]
+
+
+RETRAIN_CONFIGS = {
+    "linearret": (ONE, 0.0),
+    "linearext": (EXT, 0.0),
+    "ridgeext": (EXT, 1.0),
+}
+
+
+@register("ml18_retrain_summary_bars", covers=("ML-18", "RG-12", "RG-13", "RG-06"))
+def retrain_summary_bars(spark, sf_dir):
+    """Scheduled retrain of the top aliased models with their stored configs."""
+    from marketframe.plans import retrain as rt
+    s = scale.transform_minmax(bt(spark, sf_dir), [f for f in EXT if f != "ret"])
+    return rt.retrain(s, RETRAIN_CONFIGS)["summary"]
