@@ -140,3 +140,58 @@ def test_confusion_keeps_label_order(spark):
 
 def test_default_spec_orders_by_ts_then_seq():
     assert DEFAULT_SPEC.order == ("ts", "seq")
+
+
+def test_au09_missing_columns(spark):
+    from marketframe.operators import audit
+    df = series(spark, [1.0, 2.0])
+    assert [r.column for r in audit.missing_columns(df, ["close", "ret", "open"]).collect()] == ["ret"]
+
+
+def test_fs07_feature_metadata(spark):
+    from marketframe.operators import selection
+    df = spark.createDataFrame([("A", 1.0, 2.0, 0.1, 3.0)], "symbol string, ret double, ma_5 double, target double, "
+                                                            "close_unscaled double")
+    meta = {r.column: (r.role, r.scaled, r.selected) for r in
+            selection.feature_metadata(df, ["ret"], ["ret", "ma_5"]).collect()}
+    assert meta == {"symbol": ("key", False, False), "ret": ("feature", True, True),
+                    "ma_5": ("key", True, False), "target": ("label", False, False),
+                    "close_unscaled": ("unscaled", False, False)}
+
+
+def test_pointer_json_roundtrip(spark):
+    from marketframe.operators import runs as rg
+    from marketframe.sources import files
+    v = spark.createDataFrame([("r1", "lin", 0.5, 0.7, 0.51)],
+                              "run_id string, model_type string, rmse double, baseline_rmse double, baseline_da double")
+    text = rg.pointer_json(v).select("pointer")
+    back = files.parse_json_column(text, "pointer", files.POINTER_SCHEMA).select("parsed.*").first()
+    assert back.model_name == "model_lin" and back.metrics.rmse == 0.5
+    assert back.baseline_metrics.directional_accuracy == 0.51
+
+
+def test_clean_column_name():
+    from marketframe.sources.files import clean_column_name
+    assert clean_column_name("('Close', 'EURUSD=X')") == "Close"
+    assert clean_column_name(" Open ") == "Open"
+
+
+def test_dedupe_idempotent(spark):
+    from marketframe.operators.rows import dedupe_keep_last
+    df = spark.createDataFrame([("A", 1, 1.0, 0), ("A", 1, 2.0, 1), ("A", 2, 3.0, 0)],
+                               "symbol string, ts int, close double, _prec int")
+    once = dedupe_keep_last(df, ("symbol", "ts"), ("_prec",))
+    twice = dedupe_keep_last(once, ("symbol", "ts"), ("_prec",))
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert {r.ts: r.close for r in once.collect()} == {1: 2.0, 2: 3.0}
+
+
+def test_no_lookahead(spark):
+    base = [1.0 + 0.1 * i for i in range(60)]
+    changed = base[:40] + [9.0] * 20
+    a = wn.extended_features(series(spark, base, ohlc=[(c, c, c) for c in base]), with_target=False)
+    b = wn.extended_features(series(spark, changed, ohlc=[(c, c, c) for c in changed]), with_target=False)
+    cols = ["ret", "ma_20", "rsi_14", "atr_14", "vol_20d", "lag_5"]
+    ra = a.filter("seq < 40").orderBy("seq").select(*cols).collect()
+    rb = b.filter("seq < 40").orderBy("seq").select(*cols).collect()
+    assert ra == rb
