@@ -148,9 +148,10 @@ def histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS, by: Sequence[
     non-empty bins ``(by..., bin, bin_lo, bin_hi, n)``."""
     d = df.filter(F.col(col).isNotNull())
     if by:
-        from pyspark.sql import Window
-        w = Window.partitionBy(*by)
-        d = d.withColumns({"__lo": F.min(col).over(w), "__hi": F.max(col).over(w)})
+        # bounds as a partial aggregate (one row per group) joined back by key - a
+        # window over the group would put a hot group into a single task
+        bounds = d.groupBy(*by).agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))
+        d = d.join(bounds, list(by))
     else:
         bounds = d.select(F.min(col).alias("lo"), F.max(col).alias("hi"))
         d = d.withColumns({"__lo": bounds.select("lo").scalar(), "__hi": bounds.select("hi").scalar()})
