@@ -20,6 +20,8 @@ def register(name: str, sql: str | None = None, covers: Sequence[str] = ()):
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the oracle is time-zone naive; pin the session zone used by casts
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return finish(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__

@@ -34,14 +34,18 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str] = ("symbol", "Date"),
-                 part: str = "symbol") -> None:
-    """Merge one micro-batch into ``table`` (Parquet, partitioned by ``part``)."""
+                 part: Sequence[str] = ("symbol",)) -> None:
+    """Merge one micro-batch into ``table`` (Parquet partitioned by ``part`` and the
+    year of the date key). Only the touched (series, year) partitions are read and
+    rewritten, so a late bar in a huge series does not rewrite its whole history."""
     spark = batch.sparkSession
     b = batch.withColumns({"_prec": F.lit(int(batch_id) + 1).cast("bigint"),
-                           "_name": F.regexp_extract("_file", r"[^/]*$", 0)}).drop("_file")
+                           "_name": F.regexp_extract("_file", r"[^/]*$", 0),
+                           "bucket_year": F.year(F.col(keys[1]))}).drop("_file")
+    parts = [*part, "bucket_year"]
     if _table_exists(spark, table):
-        touched = b.select(part).distinct()
-        old = spark.read.parquet(table).join(touched, part, "left_semi")
+        touched = b.select(*parts).distinct()
+        old = spark.read.parquet(table).join(touched, parts, "left_semi")
         merged = old.unionByName(b, allowMissingColumns=True)
     else:
         merged = b
@@ -49,7 +53,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str
     # materialise before overwriting partitions that the plan also reads
     merged = checkpoint(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(table))
+     .partitionBy(*parts).parquet(table))
 
 
 def run_ingest(spark: SparkSession, source: str, table: str, checkpoint_location: str,
