@@ -65,3 +65,19 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+BROADCAST_MAX_ROWS = 200_000  # ~tens of MB for a row of 16 coefficients
+
+
+def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a parameter table only behind a checked size.
+
+    The table (one row per series, file or model) is materialised once with a
+    reliable checkpoint in the shared ``spark.checkpoint.dir`` and counted; up to
+    ``max_rows`` it is hinted for broadcast, beyond that it is returned as is and the
+    join falls back to a shuffle join on its keys (AQE skew-join splits hot keys)."""
+    from marketframe.session import checkpoint
+
+    small = checkpoint(small)
+    return F.broadcast(small) if small.count() <= max_rows else small

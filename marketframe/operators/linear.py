@@ -188,8 +188,10 @@ def importance(coefs: DataFrame, features: Sequence[str], by: Sequence[str] = ("
 def score_linear(df: DataFrame, coefs: DataFrame, features: Sequence[str], by: Sequence[str] = ("symbol",),
                  out: str = "pred") -> DataFrame:
     """ML-05: ``intercept + Σ coef_i x_i`` after joining the coefficient table by key
-    (one row per key; AQE broadcasts it when it is small)."""
-    j = df.join(coefs.select(*by, F.col("intercept").alias("__b0"), F.col("coef").alias("__b")), list(by), "left")
+    (one row per key, broadcast only behind a size check)."""
+    from marketframe.operators.joins import sized_broadcast
+    params = sized_broadcast(coefs.select(*by, F.col("intercept").alias("__b0"), F.col("coef").alias("__b")))
+    j = df.join(params, list(by), "left")
     expr: Column = F.col("__b0")
     for i, f in enumerate(features):
         expr = expr + F.col("__b")[i] * F.col(f)

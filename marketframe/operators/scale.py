@@ -47,7 +47,8 @@ def transform_minmax(df: DataFrame, features: Sequence[str], scaler: DataFrame |
             hi = F.max(F.when(is_fit, F.col(f))).over(w)
             cols[f] = (F.col(f) - lo) / _range(lo, hi)
         return df.withColumns(cols)
-    params = _wide_params(scaler, features, keys)
+    from marketframe.operators.joins import sized_broadcast
+    params = sized_broadcast(_wide_params(scaler, features, keys))
     joined = df.join(params, list(keys), "left")
     cols = {f: (F.col(f) - F.col(f"__min_{f}")) / _range(F.col(f"__min_{f}"), F.col(f"__max_{f}")) for f in features}
     return joined.withColumns(cols).drop(*[f"__min_{f}" for f in features], *[f"__max_{f}" for f in features])

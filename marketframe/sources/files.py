@@ -213,10 +213,12 @@ def latest_date(cat: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def superseded(cat: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """IO-13 / JN-08: files whose range lies inside another file's range
     (``old.start >= new.start and old.end <= new.end``, self excluded; of two equal
-    ranges the lexically smaller path is superseded). The catalog has one row per
-    file, so this non-equi join runs against a broadcast copy of it."""
+    ranges the lexically smaller path is superseded)."""
+    from marketframe.operators.joins import sized_broadcast
     old = cat.alias("o")
-    new = F.broadcast(cat.alias("n"))
+    # one row per file: broadcast behind a size check; beyond it the join runs as a
+    # shuffle join on the ``by`` keys with the range condition as a filter
+    new = sized_broadcast(cat).alias("n")
     cond = (F.col("o.start") >= F.col("n.start")) & (F.col("o.end") <= F.col("n.end")) & (
         F.col("o.path") != F.col("n.path"))
     same = (F.col("o.start") == F.col("n.start")) & (F.col("o.end") == F.col("n.end"))
