@@ -34,3 +34,12 @@ def test_dedupe_is_partial_aggregate(spark):
     text = plan_text(dedupe_keep_last_ticks.__wrapped__(spark, SMALL)) if hasattr(
         dedupe_keep_last_ticks, "__wrapped__") else plan_text(dedupe_keep_last_ticks(spark, SMALL))
     assert "partial_max_by" in text or "partial_" in text
+
+
+def test_small_parameter_table_is_broadcast(spark):
+    from marketframe.operators import linear
+    t = train.bar_training_frame(spark, SMALL)
+    coefs = linear.fit_linear(t.filter(F.col("split") == "train"), ["ret"], "target", ["symbol"])
+    scored = linear.score_linear(t.filter(F.col("split") == "test"), coefs, ["ret"])
+    assert "BroadcastHashJoin" in plan_text(scored)
+    assert scored.filter(F.col("pred").isNull()).count() == 0
