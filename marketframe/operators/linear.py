@@ -31,6 +31,7 @@ N_SPLITS = 5
 
 # ------------------------------------------------------------------ Gram rows
 WIDE_GRAM = 8  # above this many variables the Gram is built from numpy partials (one BLAS product per batch)
+MERGE_FANOUT = 512  # first-level merge groups per key for the numpy partials
 
 
 def gram(df: DataFrame, features: Sequence[str], target: str, by: Sequence[str]) -> DataFrame:
@@ -80,9 +81,14 @@ def _gram_partials(d: DataFrame, z: list[str], by: list[str]) -> DataFrame:
         return pd.DataFrame([[pdf[b].iloc[0] for b in by] + [n, mu.tolist(), c[iu].tolist()]], columns=cols)
 
     parts = d.select(*by, *z).mapInPandas(partial, schema)
+    # two-level merge: a key present in every input partition (a hot series, or the
+    # global case) first merges within MERGE_FANOUT salted groups, so no single
+    # pandas group receives one partial per input partition
+    salted = parts.withColumn("__salt", F.spark_partition_id() % F.lit(MERGE_FANOUT))
+    stage1 = salted.groupBy(*by, "__salt").applyInPandas(merge, schema)
     if not by:
-        return parts.groupBy(F.lit(0)).applyInPandas(merge, schema)
-    return parts.groupBy(*by).applyInPandas(merge, schema)
+        return stage1.groupBy(F.lit(0)).applyInPandas(merge, schema)
+    return stage1.groupBy(*by).applyInPandas(merge, schema)
 
 
 def _full(cm: np.ndarray, m: int) -> np.ndarray:
