@@ -29,3 +29,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.decontaminate import verdicts
 
     return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.langid import held_out, predict, sample
+
+    docs = table(spark, sf_dir, "documents")
+    texts = sample(docs.where(~held_out() & docs.doc_id.isNotNull()))
+    return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), texts).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.pii import find
+
+    return find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii.*")
