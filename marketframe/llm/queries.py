@@ -45,3 +45,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.pii import find
 
     return find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii.*")
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS key
+  FROM documents),
+t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2 * source_size AS cap FROM t),
+l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5
+      - CAST(coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+      / CAST(sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM w),
+x AS (SELECT level AS x FROM l WHERE level * w <= cap ORDER BY cap / w, source NULLS LAST LIMIT 1),
+g AS (
+  SELECT source, source_size,
+         CASE WHEN (SELECT x FROM x) IS NULL OR (SELECT x FROM x) * w >= cap THEN CAST(cap AS DOUBLE) ELSE (SELECT x FROM x) * w END AS target
+  FROM w),
+q AS (
+  SELECT doc_id, size, source_size, target,
+         CASE WHEN target > 0 THEN CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) / target - size / (target * 2) END AS mid
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+c AS (
+  SELECT mid, sum(size) AS n FROM (
+    SELECT size, mid FROM q WHERE size > 0 AND mid IS NOT NULL UNION ALL SELECT size, mid + source_size / target FROM q WHERE size > 0 AND mid IS NOT NULL)
+  WHERE mid < 2 GROUP BY mid),
+e AS (SELECT max(mid) AS e FROM (SELECT mid, n, sum(n) OVER (ORDER BY mid) AS upto FROM c) WHERE upto - n / 2 <= (SELECT sum(target) FROM g))
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) + 0.0 AS target,
+       CAST(size * (CASE WHEN mid <= (SELECT e FROM e) THEN 1 ELSE 0 END + CASE WHEN mid + source_size / target <= (SELECT e FROM e) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM q
+"""
+
+
+@query("op6_source_mix", MIX_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm.mix import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
