@@ -86,3 +86,36 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.mix import mix
 
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+LINE_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS r, * FROM documents),
+s AS (SELECT r, source, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS i FROM p),
+l AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM s),
+c AS (SELECT source, line, count(DISTINCT r) AS n FROM l WHERE line <> '' GROUP BY ALL),
+t AS (SELECT source, count(*) AS total FROM p GROUP BY source),
+b AS (SELECT c.source, line FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 5 AND n > total * 0.05),
+k AS (
+  SELECT r, count(*) AS n_lines, count(b.line) AS n_removed, string_agg(CASE WHEN b.line IS NULL THEN raw END, chr(10) ORDER BY i) AS text
+  FROM l LEFT JOIN b ON l.line = b.line AND l.source IS NOT DISTINCT FROM b.source GROUP BY r)
+SELECT doc_id, p.source, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CASE WHEN p.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM p LEFT JOIN k USING (r)
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.lines import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "source", "n_lines", "n_removed", "text")
+
+
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm.extract import extract
+
+    pages = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
