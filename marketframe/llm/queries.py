@@ -119,3 +119,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS d, max(page_id) OVER (PARTITION BY html) AS top FROM p),
+b AS (
+  SELECT page_id, n, top, d, list_transform(range(160 // 5), lambda i: i * 5) AS starts,
+         array_to_string(list_transform(string_split_regex(d, ''), lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', c) - 1) + 1, 4)), '') AS bits
+  FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(starts, lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, i + 1, 1) AS INT) + 8 * CAST(substr(bits, i + 2, 1) AS INT) + 4 * CAST(substr(bits, i + 3, 1) AS INT) + 2 * CAST(substr(bits, i + 4, 1) AS INT) + CAST(substr(bits, i + 5, 1) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM b
+"""
+
+
+@query("op8_warc", WARC_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.warc import merge_index, read_archives, write_archives
+    from marketframe.session import scratch_dir
+
+    path = scratch_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return merge_index(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
