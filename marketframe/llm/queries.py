@@ -143,3 +143,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     return merge_index(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_nearest_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm.ann import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
