@@ -3,9 +3,9 @@
 A vector is represented by its nearest ``prefix`` of ``pivots`` pivots, in order. In blocks of about ``block_rows`` vectors (dealt by hash) each pivot
 has an inverted file of the block's vectors that have it in their order, with its place. A query walks the files of its own pivots; from the places it
 gets every vector's footrule distance, as shared pivots' displacements (a pivot that one side lacks counts as displaced to the end of the order). The ``rerank`` distinct vectors
-of a block that are nearest by footrule are ranked by the exact inner product, and the blocks' best ``k`` are merged.
+of a block that are nearest by footrule, with all ties and all that are close to the query's own order, are ranked by the exact inner product, and the blocks' best ``k`` are merged.
 
-The pivots are a bounded sample (the ``pivots`` distinct vectors of the smallest hashes); every vector is indexed. Queries are a stated set: they meet all blocks, in
+The pivots come from a bounded sample; every vector is indexed. Queries are a stated set: they meet all blocks, in
 blocks of ``query_rows``, so a task holds one block of each, whatever the tables' sizes. Equal vectors stand in a block's index once, with their ids, of which no
 result needs more than the ``k + 1`` smallest; so a vector that a third of the rows hold doesn't crowd out others. As the rerank set is a share of
 every block (an eighth by default), recall does not fall as the table grows.
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Vectors within this share of the largest footrule are always ranked by their product: the members of a dense group.
+CLOSE = 0.5
 RESULT = "query_id long, vec_id long, score double"
 
 
@@ -35,17 +37,24 @@ def valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return whole.groupBy("id").agg(F.min_by("v", F.struct(F.xxhash64("v"), F.col("v"))).alias("v"))
 
 
-def pivot_sample(vectors: DataFrame, n: int) -> np.ndarray:
+def pivot_sample(vectors: DataFrame, n: int, apart: float = 0.8, sample: int = 4096) -> np.ndarray:
+    """At most n pivots: of the ``sample`` distinct vectors of the smallest hashes, in that order, those whose cosine with each
+    pivot before is at most ``apart``. Pivots that stand together would tell a dense group's members apart no better than one."""
     keyed = vectors.select(F.xxhash64("v").alias("h"), "v")
-    least = [r.h for r in keyed.select("h").distinct().orderBy("h").limit(n).collect()]
-    rows = keyed.where(F.col("h").isin(least)).groupBy("h").agg(F.min("v").alias("v")).orderBy("h").collect() if least else []
-    return np.array([r.v for r in rows], dtype=np.float64)
+    least = keyed.select("h").distinct().orderBy("h").limit(sample)
+    rows = keyed.join(least, "h").groupBy("h").agg(F.min("v").alias("v")).orderBy("h").collect()
+    chosen: list[np.ndarray] = []
+    for r in rows:
+        v = np.array(r.v, dtype=np.float64)
+        v /= np.linalg.norm(v)
+        if len(chosen) < n and (not chosen or (np.array(chosen) @ v).max() <= apart):
+            chosen.append(v)
+    return np.array(chosen)
 
 
 def orders(v: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """Places of the nearest pivots by angle, nearest first."""
-    near = v @ (pivots / np.linalg.norm(pivots, axis=1, keepdims=True)).T
-    return np.argsort(-near, axis=1, kind="stable")[:, :prefix]
+    return np.argsort(-(v @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
 class InvertedFiles:
@@ -98,7 +107,8 @@ def search_block(t: pa.Table, pivots: np.ndarray, prefix: int, rerank: int, k: i
     out: list[tuple[int, int, float]] = []
     for qid, vector, order in zip(query_ids.tolist(), q, orders(q, pivots, prefix), strict=True):
         near = files.footrule(order)
-        few = np.argpartition(near, rerank)[: rerank + 1] if len(near) > rerank + 1 else np.arange(len(near))
+        bound = max(int(np.partition(near, rerank)[rerank]), int(CLOSE * files.most)) if len(near) > rerank else files.most
+        few = np.flatnonzero(near <= bound)
         score = (v[few] * vector).sum(axis=1)  # row by row, so equal vectors get equal scores in every block
         found = []
         for j in np.argsort(-score, kind="stable").tolist():
