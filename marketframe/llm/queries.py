@@ -152,3 +152,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.ann import neighbours
 
     return neighbours(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
+
+
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.jaccard import jaccard_groups
+
+    return jaccard_groups(table(spark, sf_dir, "documents"))
