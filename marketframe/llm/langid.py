@@ -4,8 +4,8 @@ Per language, a suffix automaton of labelled text gives longest matches: a text
 phrases that occur in the language's text, and the language whose phrases cost least, ``phrases * log2(size of
 its text) / characters``, wins (ties go to the smaller label).
 
-The automata are fitted on a bounded sample: at most ``sample_docs`` labelled documents a language (those of
-the smallest text hashes, equal texts once), ``sample_chars`` characters of each. Every text is then parsed whole, in blocks of ``BLOCK``
+The automata are fitted on a bounded sample: at most ``sample_docs`` labelled documents a language (of each class of text
+hashes modulo that number the smallest, equal texts once), ``sample_chars`` characters of each. Every text is then parsed whole, in blocks of ``BLOCK``
 characters over whose ends no phrase runs, all blocks of a batch in step: the automaton's missing moves are filled in
 as "a new phrase begins", so a character of a text costs one table look-up for each language.
 
@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.llm.automaton import SuffixAutomaton
@@ -45,8 +45,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def sample(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_docs: int = 128, sample_chars: int = 512) -> dict[str, list[str]]:
     """A bounded sample of texts by label, on the driver."""
     rows = docs.select(F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
-    first = rows.select("l", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("n") <= sample_docs)
-    chosen = [r.h for r in first.select("h").distinct().collect()]
+    chosen = [r.h for r in rows.groupBy("l", F.pmod("h", F.lit(sample_docs)).alias("slot")).agg(F.min("h").alias("h")).select("h").distinct().collect()]
     texts: dict[str, set] = {}
     if chosen:
         for r in rows.where(F.col("h").isin(chosen)).groupBy("l", "h").agg(F.min(F.substring("t", 1, sample_chars)).alias("t")).collect():

@@ -159,3 +159,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.jaccard import jaccard_groups
 
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm.substrings import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
