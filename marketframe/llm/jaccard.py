@@ -288,11 +288,10 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, kind:
     return two.where(both * den >= (F.size("gx") + F.size("gy") - both) * num).select("x", "y")
 
 
-def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: tuple[int, int] = (90, 100), kind: str = "space_lower") -> DataFrame:
-    """Per document: id, n_shingles (size of its set) and component_id (smallest id reachable by links); the general result besides ids is the
-    pairs of ``verified``."""
+def grouped(docs: DataFrame, *, id_col: str, text_col: str, n: int, threshold: tuple[int, int], kind: str) -> DataFrame:
+    """``id, key`` (md5 of the text), ``size, node`` and ``root`` (null without words) of every document."""
     num, den = threshold
-    rows = docs.select(F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
     nodes = written(sizes_and_nodes(rows, n, kind), "nodes")
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(rows, n, kind))
     posts = written(stars(prefix_posts(rows, sketch, n, kind, num, den)), "posts")
@@ -304,9 +303,29 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         new = written(verified(more, rows, nodes, n, kind, num, den), "links")
         if not new.isEmpty():
             roots = components(links.union(new))
-    named = nodes.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
-    named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(least, "root").select("node", "component_id")
-    out = nodes.join(groups, "node", "left")
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: tuple[int, int] = (90, 100), kind: str = "space_lower") -> DataFrame:
+    """Per document: id, n_shingles (size of its set) and component_id (smallest id reachable by links). The links themselves
+    are those of ``verified``."""
+    found = grouped(docs, id_col=id_col, text_col=text_col, n=n, threshold=threshold, kind=kind)
+    least = found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least"))
+    return found.join(least, "root", "left").select(
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
+    )
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: tuple[int, int] = (80, 100), kind: str = "space_lower") -> DataFrame:
+    """The rows of ``docs``, of each group only the one of the smallest id (null last; then the smallest text hash; of equal ids and texts the
+    smallest other columns). Rows without words all stay."""
+    found = grouped(docs, id_col=id_col, text_col=text_col, n=n, threshold=threshold, kind=kind)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("f")
+    chosen = found.where(F.col("root").isNotNull()).groupBy("root").agg(first).select(F.col("f.id").alias("i"), F.col("f.key").alias("k"))
+    empty = found.where(F.col("root").isNull()).select(F.col("id").alias("i"), F.col("key").alias("k")).distinct()
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.md5(F.col(f"`{text_col}`")).alias("key"))
+    match = lambda t: F.col("key").eqNullSafe(t.k) & F.col("id").eqNullSafe(t.i)
+    one = rows.join(chosen, match(chosen), "left_semi").groupBy("key", "id").agg(F.min("row").alias("row"), F.first("text").alias("text"))
+    out = one.select("row", "text").union(rows.join(empty, match(empty), "left_semi").select("row", "text"))
+    return out.select(*[(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in names])

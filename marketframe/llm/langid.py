@@ -192,3 +192,12 @@ def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "te
             yield pa.RecordBatch.from_arrays([new.get(k, batch.column(k)) for k in batch.schema.names], schema=batch.schema)
 
     return out.mapInArrow(step, out.schema)
+
+
+def keep_known(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text", max_rate: float = 0.5, least_chars: int = 20) -> DataFrame:
+    """The rows of ``docs`` in a learned language. Rejected are texts that are ``und``, and those of at least ``least_chars`` characters with
+    more than ``max_rate`` phrases a character: random letters take over 0.6, any learned language less than 0.4."""
+    names = docs.columns
+    rows = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text_col}`").alias("text")), texts)
+    known = (F.col("lang_pred") != "und") & ((F.col("phrase_rate") <= max_rate) | (F.length("text") < least_chars))
+    return rows.where(known).select(*[F.col("row")[c].alias(c) for c in names])
