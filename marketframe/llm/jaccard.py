@@ -33,6 +33,7 @@ from marketframe.llm.words import Words, mix, pieces, rolling
 
 BUCKETS = 1 << 20
 SLICES = 16
+BITS = 1 << 24
 SMALL = 16
 
 
@@ -260,10 +261,39 @@ def open_pairs(posts: DataFrame, roots: DataFrame, num: int, den: int) -> DataFr
     return _ordered(rooted.repartition("token").sortWithinPartitions("token", "size", "node").mapInArrow(step, "x binary, y binary"))
 
 
+def likely(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The docs whose key is in ``keys``, and few others: a bitmap of fixed size, of key hashes, is broadcast. It spares the texts that
+    aren't asked for the shuffle of the exact join that follows; with very many keys it fills up and spares none."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITS, bool)
+        for batch in batches:
+            bits[batch.column("bit").to_numpy()] = True
+        packed, size = np.packbits(bits), BITS // 8 // SLICES
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(SLICES), pa.int32()), "bits": pa.array([packed[i * size : (i + 1) * size].tobytes() for i in range(SLICES)], pa.binary())})
+
+    def either(table: pa.Table) -> pa.Table:
+        total = np.bitwise_or.reduce([np.frombuffer(c, np.uint8) for c in table.column("bits").to_pylist()])
+        return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([total.tobytes()], pa.binary())})
+
+    bit = F.pmod(F.xxhash64("key"), F.lit(BITS)).alias("bit")
+    rows = keys.select(bit).mapInArrow(mark, "part int, bits binary").groupBy("part").applyInArrow(either, "part int, bits binary").collect()
+    packed = docs.sparkSession.sparkContext.broadcast(b"".join(r.bits for r in sorted(rows, key=lambda r: r.part)) or bytes(BITS // 8))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(packed.value, np.uint8)
+        for batch in batches:
+            at = batch.column("bit").to_numpy()
+            yield batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)).select(["key", "text"])
+
+    return docs.select("key", "text", bit).mapInArrow(step, "key string, text string")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, kind: str, num: int, den: int) -> DataFrame:
     """The pairs whose sets are alike enough. Texts are read again for nodes that stand in a pair."""
     asked = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
     keys = nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key").distinct()
+    keys = written(keys, "keys")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -280,7 +310,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, kind:
                     cut = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(sets)))], names=["node", "grams"])
 
-    sets = docs.select("key", "text").join(keys, "key", "left_semi").select("text").mapInArrow(step, "node binary, grams array<bigint>")
+    sets = likely(docs, keys).join(keys, "key", "left_semi").select("text").mapInArrow(step, "node binary, grams array<bigint>")
     sets = sets.groupBy("node").agg(F.first("grams").alias("grams"))
     one = pairs.join(sets.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
     two = one.join(sets.select(F.col("node").alias("y"), F.col("grams").alias("gy")), "y")

@@ -2,18 +2,17 @@
 
 Every source is a queue whose documents stand in shuffled order (by md5 of seed, id and text, so reruns agree). A document's
 virtual finish time is the source's tokens up to and with it, divided by the source's target; a second copy finishes one full
-pass of the source later. All copies, in order of finish time, are the mix; it is truncated at the total budget: the last copy
-taken is that whose middle is within the budget. As every source's queue is served in proportion to its
-target, each has got its target, to within about half a document, when the budget is used up.
+pass of the source later. The mix is range-sorted by finish time and truncated at the total budget. The targets add up to the budget and every queue is
+served in proportion to its target, so the budget is used up at virtual time 1, for all sources at once; a copy in service then
+stays if at least half of it is before. So each source gets its target to within half of one document, and no source pays for
+another's long document.
 
 Targets: the ``weights`` repeat over the sources in order of code point, null last; ``share`` of all tokens is divided by weight, but no source gets
 more than ``repeats`` times its tokens, and what is cut there is divided among the others until none is above.
 
 Layout: cumulative sums never put a source, or the whole mix, into one task. Positions come from token sums per (source, first
 three hex digits of the order key) and a running sum over those at most 4096 rows a source, then a running
-sum within each (source, digits). The budget's place on the virtual clock comes likewise from sums per
-1/4096 of the clock, then an exact order within the one slot it falls into. What is collected into one task
-is one row per source (the mix's configuration) and 4096 rows of the clock.
+sum within each (source, digits). What is collected into one task is one row per source (the mix's configuration).
 
 Defined cases: a null or empty text has size 0 and takes nothing; a null source is a source; a null id orders as an empty one; repeated
 rows stand in the queue one by one (their order among each other does not matter, as they are equal). An empty table gives
@@ -26,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLOTS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -67,24 +65,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     within = Window.partitionBy("src", "slot").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
     queue = rows.withColumn("upto", F.sum("size").over(within)).join(before.join(to, "src"), ["src", "slot"])
     queue = queue.withColumn("finish", F.when(F.col("target") > 0, (F.col("before") + F.col("upto")) / F.col("target")))
-    return _truncate(queue, to, repeats).select(
+    # targets add up to the budget, so it is used up at time 1; the copy in service then stays if half of it is before
+    middle = F.col("finish") - F.col("size") / (F.col("target") * 2)
+    kept = [F.coalesce((middle + (F.col("source_size") * k) / F.col("target") <= 1).cast("long"), F.lit(0)) for k in range(repeats)]
+    return queue.withColumn("taken", F.col("size") * sum(kept, F.lit(0).cast("long"))).orderBy("finish", "key", "id").select(
         F.col("id").alias(id_col), "size", "source_size", "target", "taken", "finish",
         F.when(F.col("src") != "1", F.expr("substring(src, 2)")).alias(source_col), *(["row"] if keep else []),
     )
-
-
-def _truncate(queue: DataFrame, to: DataFrame, repeats: int) -> DataFrame:
-    """``queue`` with ``taken``: copies up to the place on the virtual clock where the budget is used up. A copy counts
-    where its middle lies, so that the one that straddles the end stays if most of it is before."""
-    middle = F.col("finish") - F.col("size") / (F.col("target") * 2)
-    passes = [middle + (F.col("source_size") * k) / F.col("target") for k in range(repeats)]
-    tick = lambda at: F.floor(at * (SLOTS // 2))  # noqa: E731  the clock's slots cover 0 to 2; the budget is used up near 1
-    copies = queue.where((F.col("size") > 0) & F.col("finish").isNotNull()).select("size", F.explode(F.array(*passes)).alias("at")).where(F.col("at") < 2)
-    places = copies.groupBy(tick(F.col("at")).alias("tick"), "at").agg(F.sum("size").alias("n"))
-    run = places.groupBy("tick").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy("tick"))).crossJoin(to.agg(F.sum("target").alias("budget")))
-    slot = F.struct("tick", (F.col("upto") - F.col("n")).alias("before"), "budget")
-    cut = run.agg(F.coalesce(F.min(F.when(F.col("upto") >= F.col("budget"), slot)), F.max(slot)).alias("c")).select("c.*")
-    inside = places.join(F.broadcast(cut), "tick").withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("tick").orderBy("at")))
-    end = inside.agg(F.max("tick").alias("end_tick"), F.max(F.when(F.col("upto") - F.col("n") / 2 <= F.col("budget"), F.col("at"))).alias("end_at"))
-    kept = lambda p: F.coalesce(((tick(p) < F.col("end_tick")) | F.coalesce(p <= F.col("end_at"), F.lit(False))).cast("long"), F.lit(0))
-    return queue.crossJoin(F.broadcast(end)).withColumn("taken", F.col("size") * sum((kept(p) for p in passes), F.lit(0).cast("long")))

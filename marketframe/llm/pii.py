@@ -43,7 +43,8 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`]+")
-_ACCOUNT = re.compile(r"(?:[\x20_]?(?:number|no\.?|id))?[\x20]?[:=#]?[\x20]?([A-Za-z]{0,2}[0-9](?:[\x20-]?[0-9A-Za-z])*)", re.I)
+_IBAN = r"[A-Z]{2}[0-9]{2}(?:[\x20-]?[A-Z0-9]{4}){2,7}(?:[\x20-]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+_ACCOUNT = re.compile(rf"(?i:[\x20_]?(?:number|no\.?|id))?[\x20]?[:=#]?[\x20]?({_IBAN}|[0-9](?:[\x20-]?[0-9])+|[A-Za-z0-9]+)")
 _SECRET = re.compile(r"[\x20]?[:=][\x20]?[\"']?([A-Za-z0-9_+/.=-]{8,})")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -136,7 +137,7 @@ def spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
                 m = _ACCOUNT.match(text, after)
                 if m:
                     token = re.sub("[ -]", "", m[1])
-                    formed = re.fullmatch("[A-Za-z]{2}[0-9]{2}[A-Za-z0-9]{11,30}", token)
+                    formed = re.fullmatch("[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", token)
                     if iban(token) if formed else len(_DIGIT.findall(token)) >= 6:
                         out["account"].append(m.span(1))
                         added_end["account"] = m.end()

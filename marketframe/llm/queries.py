@@ -67,14 +67,9 @@ g AS (
 q AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN target > 0 THEN CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) / target - size / (target * 2) END AS mid
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
-c AS (
-  SELECT mid, sum(size) AS n FROM (
-    SELECT size, mid FROM q WHERE size > 0 AND mid IS NOT NULL UNION ALL SELECT size, mid + source_size / target FROM q WHERE size > 0 AND mid IS NOT NULL)
-  WHERE mid < 2 GROUP BY mid),
-e AS (SELECT max(mid) AS e FROM (SELECT mid, n, sum(n) OVER (ORDER BY mid) AS upto FROM c) WHERE upto - n / 2 <= (SELECT sum(target) FROM g))
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) + 0.0 AS target,
-       CAST(size * (CASE WHEN mid <= (SELECT e FROM e) THEN 1 ELSE 0 END + CASE WHEN mid + source_size / target <= (SELECT e FROM e) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+       CAST(size * (CASE WHEN mid <= 1 THEN 1 ELSE 0 END + CASE WHEN mid + source_size / target <= 1 THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM q
 """
 
