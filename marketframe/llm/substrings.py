@@ -104,22 +104,31 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
             keys = batch.column("key").to_numpy()
             for first, w in pieces(batch.column("text"), KIND):
                 a = Anchors(w, length)
-                new = np.array([not (k in seen or seen.add(k)) for k in keys[first : first + len(w.doc) - 1].tolist()], bool)
-                new = new[a.owner]
-                yield pa.RecordBatch.from_pydict({"token": a.token[new], "key": keys[first + a.owner[new]], "place": (a.place - w.doc[a.owner])[new].astype(np.int32)})
+                new = np.array([not (k in seen or seen.add(k)) for k in keys[first : first + len(w.doc) - 1].tolist()], bool)[a.owner]
+                token, key, place = a.token[new], keys[first + a.owner[new]], (a.place - w.doc[a.owner])[new].astype(np.int32)
+                # what a piece holds several times is known to be repeated: it goes on by text, and one of them tells the others
+                _, head, at, count = np.unique(token, return_index=True, return_inverse=True, return_counts=True)
+                known = count[at] > 1
+                tell = np.zeros(len(token), bool)
+                tell[head] = True
+                rows = np.concatenate([np.flatnonzero(known), np.flatnonzero(tell)])
+                final = np.arange(len(rows)) < known.sum()
+                yield pa.RecordBatch.from_pydict({"part": np.where(final, key[rows], token[rows]), "token": token[rows], "key": key[rows], "place": place[rows], "final": pa.array(final)})
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
+            final = t.column("final").to_numpy().astype(bool)
             token, key, place = (t.column(c).to_numpy() for c in ("token", "key", "place"))
-            same = token[1:] == token[:-1]
-            again = np.concatenate([[False], same & (key[1:] == key[:-1]) & (place[1:] == place[:-1])])
+            yield pa.RecordBatch.from_pydict({"key": key[final], "place": place[final]})
+            token, key, place = token[~final], key[~final], place[~final]
+            again = np.concatenate([[False], (token[1:] == token[:-1]) & (key[1:] == key[:-1]) & (place[1:] == place[:-1])]) if len(token) else np.zeros(0, bool)
             token, key, place = token[~again], key[~again], place[~again]
             same = token[1:] == token[:-1]
-            many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            many = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(token) else same
             yield pa.RecordBatch.from_pydict({"key": key[many], "place": place[many]})
 
-    dealt = texts.mapInArrow(emit, "token bigint, key bigint, place int").repartition("token").sortWithinPartitions("token", "key", "place")
-    return dealt.mapInArrow(several, "key bigint, place int").groupBy("key").agg(F.collect_list("place").alias("places"))
+    dealt = texts.mapInArrow(emit, "part bigint, token bigint, key bigint, place int, final boolean").repartition("part").sortWithinPartitions("token", "key", "place")
+    return dealt.mapInArrow(several, "key bigint, place int").groupBy("key").agg(F.collect_set("place").alias("places"))
 
 
 def owned_windows(candidates: DataFrame, length: int) -> DataFrame:
@@ -138,41 +147,75 @@ def owned_windows(candidates: DataFrame, length: int) -> DataFrame:
                         seen.add(k)
                         wanted[w.doc[d] + np.asarray(places[first + d].values)] = True
                 use = np.flatnonzero(wanted[a.place]) if len(a.place) else a.place
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(a.count[use])]).astype(np.int32)), pa.array(_ranges(windows, a.first[use], a.count[use])))
-                yield pa.RecordBatch.from_pydict({"token": a.token[use], "key": keys[first + a.owner[use]], "start": (a.first - w.doc[a.owner])[use].astype(np.int32), "windows": lists})
+                row = np.repeat(np.arange(len(use)), a.count[use])
+                token, key = a.token[use], keys[first + a.owner[use]]
+                at = _ranges(np.arange(len(w)), a.first[use], a.count[use])
+                window, place = windows[at], at - w.doc[a.owner[use]][row]
+                # as above: repeats within the piece are decided here, the first of them takes part in the rest
+                head, often = _first(token[row], window, key[row], place)
+                known, alone = np.flatnonzero(often > 1), np.flatnonzero(head == np.arange(len(row)))
+                yield _runs(key[row[known]], place[known], key[row[head[known]]], place[head[known]], np.zeros(len(known), bool), final=True)
+                new = np.concatenate([[True], (row[alone][1:] != row[alone][:-1]) | (place[alone][1:] != place[alone][:-1] + 1)]) if len(alone) else np.zeros(0, bool)
+                s = np.flatnonzero(new)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(s, len(alone)).astype(np.int32)), pa.array(window[alone]))
+                n = len(s)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(token[row[alone[s]]]), pa.array(token[row[alone[s]]]), pa.array(key[row[alone[s]]]), pa.array(place[alone[s]].astype(np.int32)), pa.array(np.zeros(n, np.int32)),
+                    pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool)), lists,
+                ], schema=_RUN)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "start", "count", "owner", "at", "hot"]
         for t in _groups(batches):
+            final = pa.compute.equal(t.column("final"), True)
+            yield from t.filter(final).select(names).to_batches()
+            t = t.filter(pa.compute.invert(final))
             token, key, start = (t.column(c).to_numpy() for c in ("token", "key", "start"))
+            if not len(token):
+                continue
             again = np.concatenate([[False], (token[1:] == token[:-1]) & (key[1:] == key[:-1]) & (start[1:] == start[:-1])])
-            if again.any():
-                t = t.filter(pa.array(~again))
-                token, key, start = token[~again], key[~again], start[~again]
+            t, token, key, start = t.filter(pa.array(~again)), token[~again], key[~again], start[~again]
             lists = t.column("windows").combine_chunks()
             count = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(token)), count)
-            window, place = lists.flatten().to_numpy(), np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + start[row]
-            order = np.lexsort((place, key[row], window, token[row]))
-            w, k = window[order], token[row][order]
-            first = np.concatenate([[True], (w[1:] != w[:-1]) | (k[1:] != k[:-1])])
-            size = np.diff(np.append(np.flatnonzero(first), len(first)))
-            head = np.repeat(np.flatnonzero(first), size)
-            owner, at, often = np.empty(len(row), np.int64), np.empty(len(row), np.int64), np.empty(len(row), np.int64)
-            owner[order], at[order], often[order] = key[row][order][head], place[order][head], np.repeat(size, size)
-            use = often > 1
-            row, place, owner, at = row[use], place[use], owner[use], at[use]
-            if not len(row):
-                continue
-            # runs of windows that follow each other in the text and in the owner
-            new = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)])
-            s = np.flatnonzero(new)
-            hot = np.repeat(np.bincount(np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))) >= HOT, np.diff(np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token))))
-            yield pa.RecordBatch.from_pydict({"key": key[row[s]], "start": place[s].astype(np.int32), "count": np.diff(np.append(s, len(row))).astype(np.int32), "owner": owner[s], "at": at[s].astype(np.int32), "hot": pa.array(hot[row[s]])})
+            place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + start[row]
+            head, often = _first(token[row], lists.flatten().to_numpy(), key[row], place)
+            use = np.flatnonzero(often > 1)
+            yield _runs(key[row[use]], place[use], key[row[head[use]]], place[head[use]], often[use] >= HOT).select(names)
 
-    dealt = candidates.mapInArrow(emit, "token bigint, key bigint, start int, windows array<bigint>").repartition("token").sortWithinPartitions("token", "key", "start")
+    dealt = candidates.mapInArrow(emit, "part bigint, token bigint, key bigint, start int, count int, owner bigint, at int, hot boolean, final boolean, windows array<bigint>").repartition("part").sortWithinPartitions("token", "key", "start")
     return dealt.mapInArrow(own, "key bigint, start int, count int, owner bigint, at int, hot boolean")
 
 
+_RUN = pa.schema([("part", pa.int64()), ("token", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("owner", pa.int64()), ("at", pa.int32()), ("hot", pa.bool_()), ("final", pa.bool_()), ("windows", pa.list_(pa.int64()))])
+
+
+def _first(token, window, key, place) -> tuple[np.ndarray, np.ndarray]:
+    """For each window: where its first occurrence by (key, place) stands, and how many there are."""
+    order = np.lexsort((place, key, window, token))
+    t, w = token[order], window[order]
+    new = np.concatenate([[True], (w[1:] != w[:-1]) | (t[1:] != t[:-1])]) if len(w) else np.zeros(0, bool)
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(new)))
+    head, often = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    head[order], often[order] = np.repeat(order[start], size), np.repeat(size, size)
+    return head, often
+
+
+def _runs(key, place, owner, at, hot, final: bool = False) -> pa.RecordBatch:
+    """Windows as runs that follow each other in the text and are of one owner; their order is that of key and place."""
+    order = np.lexsort((place, key))
+    key, place, owner, at, hot = key[order], place[order], owner[order], at[order], hot[order]
+    mine = (owner == key) & (at == place)
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (hot[1:] != hot[:-1]) | (mine[1:] != mine[:-1]) | (at[1:] // PART != at[:-1] // PART)]) if len(key) else np.zeros(0, bool)
+    s = np.flatnonzero(new)
+    n = len(s)
+    return pa.RecordBatch.from_arrays([
+        pa.array(key[s]), pa.array(np.zeros(n, np.int64)), pa.array(key[s]), pa.array(place[s].astype(np.int32)), pa.array(np.diff(np.append(s, len(key))).astype(np.int32)),
+        pa.array(owner[s]), pa.array(at[s].astype(np.int32)), pa.array(hot[s]), pa.array(np.full(n, final)), pa.array([[]] * n, pa.list_(pa.int64())),
+    ], schema=_RUN)
+
+
 def _ranges(x: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """x[start:start+count] of each range, one after the other."""
     place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
@@ -194,12 +237,13 @@ def shard_passages(texts: DataFrame, length: int, shards: int) -> DataFrame:
                     if key in seen:
                         continue
                     seen.add(key)
-                    for start, count, owner, at, hot in _joined(runs[first + d]):
-                        mine, a = owner == key and at == start, int(w.doc[d]) + start
-                        shard, part = (owner + (at // PART) * 0x9E3779B1) % shards, words[a : a + count + length - 1].tobytes()
+                    for start, count, shard, hot, mine in _joined(runs[first + d], key, shards):
+                        a = int(w.doc[d]) + start
+                        part = words[a : a + count + length - 1].tobytes()
                         if hot:
                             salts = range(1, SALTS + 1) if mine else (1 + (key >> 7) % SALTS,)
                         else:
+                            # a window may be the owner of hot ones and of others
                             salts = (0,)
                         rows += [(shard, s, mine, key, start, part) for s in salts]
             if rows:
@@ -211,18 +255,21 @@ def shard_passages(texts: DataFrame, length: int, shards: int) -> DataFrame:
 _PASSAGE = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("reference", pa.bool_()), ("key", pa.int64()), ("start", pa.int32()), ("words", pa.binary())])
 
 
-def _joined(runs: list[dict]) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Runs that go on in the text and in the owner as one."""
-    last: list | None = None
-    for r in sorted(runs, key=lambda r: r["start"]):
-        if last and r["start"] == last[0] + last[1] and r["owner"] == last[2] and r["at"] == last[3] + last[1] and r["hot"] == last[4] and r["at"] // PART == last[3] // PART:
-            last[1] += r["count"]
-            continue
-        if last:
-            yield tuple(last)
-        last = [r["start"], r["count"], r["owner"], r["at"], r["hot"]]
-    if last:
-        yield tuple(last)
+def _joined(runs: list[dict], key: int, shards: int) -> list[list]:
+    """[start, count, shard, hot, mine] of runs that go on in the text and meet the same shard, as one."""
+    parts = sorted((r["start"], r["count"], (r["owner"] + (r["at"] // PART) * 0x9E3779B1) % shards, r["hot"], r["owner"] == key and r["at"] == r["start"]) for r in runs)
+    out: list[list] = []
+    for kind in sorted({p[2:] for p in parts}):
+        last: list | None = None
+        for start, count, *of in parts:
+            if tuple(of) != kind:
+                continue
+            if last and start <= last[0] + last[1]:
+                last[1] = max(last[1], start + count - last[0])
+            else:
+                last = [start, count, *of]
+                out.append(last)
+    return out
 
 
 def match_shard(t: pa.Table, length: int) -> pa.Table:

@@ -35,9 +35,10 @@ def test_substring_dedup_of_nothing(spark):
 def test_substring_dedup_with_broadcast_shards(spark, monkeypatch):
     from marketframe.llm import substrings
 
-    # a passage in very many different texts
-    rows = [(i, f"{'l' * (i % 7)}{i} " + " ".join(f"p{j}" for j in range(40)) + f" r{i} s{i}", "a") for i in range(substrings.HOT + 50)]
-    got = sorted(map(tuple, substring_dedup(frame(spark, rows)).collect()), key=repr)
+    monkeypatch.setattr(substrings, "HOT", 2)  # closures carry it to the workers
+    monkeypatch.setattr(substrings, "PART", 16)
+    rows = [(i, f"{'l' * (i % 7)}{i} " + " ".join(f"p{j}" for j in range(90)) + f" r{i} " + "a b " * (i % 50), "a") for i in range(150)]
+    got = sorted(map(tuple, substring_dedup(frame(spark, rows, 12)).collect()), key=repr)
     assert got == sorted(removed(rows, 35), key=repr)
 
 
