@@ -38,6 +38,21 @@ ADF_CRIT_CONST = {
     "10%": (-2.56677, -1.5384, -2.809, 0.0),
 }
 
+# Fixed values that must equal the published p-value surface (MacKinnon 1994, constant, one
+# variable): the normal distribution of a polynomial of the statistic, one below the switch and one above it.
+ADF_P_SWITCH, ADF_P_RANGE = -1.61, (-18.83, 2.74)
+ADF_P_LOW = (2.1659, 1.4412, 0.038269)
+ADF_P_HIGH = (1.7339, 0.93202, -0.12745, -0.010368)
+
+
+def adf_p_value(stat: float) -> float:
+    """Approximate p-value of the statistic under a unit root."""
+    if not ADF_P_RANGE[0] <= stat <= ADF_P_RANGE[1]:
+        return float(stat > 0)
+    terms = ADF_P_LOW if stat <= ADF_P_SWITCH else ADF_P_HIGH
+    z = sum(b * stat**i for i, b in enumerate(terms))
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
 
 def _lags(df: DataFrame, col: str, k: int, spec: SeriesSpec, prefix: str) -> DataFrame:
     w = spec.window()
@@ -65,7 +80,7 @@ def _design_names(max_p: int, max_q: int) -> list[str]:
     return [f"y_l{i}" for i in range(1, max_p + 1)] + [f"e_l{j}" for j in range(1, max_q + 1)]
 
 
-def select_order(df: DataFrame, col: str = "ret", max_p: int = 2, max_q: int = 2, m: int = 8,
+def select_order(df: DataFrame, col: str = "ret", max_p: int = 5, max_q: int = 5, m: int = 12,
                  spec: SeriesSpec = DEFAULT_SPEC, split_col: str | None = "split") -> dict[str, DataFrame]:
     """ML-08: ARMA(p, q) with drift by Hannan-Rissanen, order by minimum AIC.
 
@@ -115,7 +130,7 @@ def select_order(df: DataFrame, col: str = "ret", max_p: int = 2, max_q: int = 2
     return {"candidates": cands, "orders": orders, "design": design, "names": names}
 
 
-def walk_forward(df: DataFrame, col: str = "ret", max_p: int = 2, max_q: int = 2, m: int = 8,
+def walk_forward(df: DataFrame, col: str = "ret", max_p: int = 5, max_q: int = 5, m: int = 12,
                  spec: SeriesSpec = DEFAULT_SPEC, split_col: str = "split") -> DataFrame:
     """ML-09: one-step-ahead forecasts with the selected order's fixed coefficients:
     row t+1 is predicted from values and innovations up to t. Output rows of the
@@ -132,21 +147,24 @@ def walk_forward(df: DataFrame, col: str = "ret", max_p: int = 2, max_q: int = 2
 
 
 def adf_test(df: DataFrame, col: str = "close", spec: SeriesSpec = DEFAULT_SPEC,
-             maxlag: int | None = None, max_cap: int = 40) -> DataFrame:
+             maxlag: int | None = None) -> DataFrame:
     """AG-17: augmented Dickey-Fuller test with a constant, lag by AIC.
 
-    Output ``(keys..., nobs, used_lag, adf_stat, crit_1, crit_5, crit_10, stationary)``;
-    ``stationary`` is ``adf_stat < crit_5`` (the 5% decision)."""
+    Output ``(keys..., nobs, used_lag, adf_stat, p_value, crit_1, crit_5, crit_10, stationary)``;
+    ``stationary`` is ``adf_stat < crit_5`` (the 5% decision). A series without variance
+    (or with too few rows) has a NULL statistic. Without ``maxlag`` the lag design is as wide as
+    the longest series asks for, ``12 (n/100)^(1/4)``: one count per series is run for that."""
     by = list(spec.keys)
     w = spec.window()
     d = df.filter(F.col(col).isNotNull()).withColumns({
         "__dy": F.col(col) - F.lag(col, 1).over(w), "__ylag": F.lag(col, 1).over(w),
         "__pos": F.row_number().over(w), "__n": F.count(F.lit(1)).over(spec.whole())})
     if maxlag is None:
-        # the default grows with the series: 12 * (n/100)^(1/4), capped at n/2 - 2
-        ml = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("__n") / 100.0, 0.25)), F.floor(F.col("__n") / 2) - 2)
-        d = d.withColumn("__maxlag", F.least(ml, F.lit(max_cap)).cast("int"))
-        cap = max_cap
+        # the default grows with the series: 12 * (n/100)^(1/4), at most n/2 - 2
+        lags = lambda n: F.greatest(F.least(F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25)), F.floor(n / 2) - 2), F.lit(0)).cast("int")
+        longest = df.filter(F.col(col).isNotNull()).groupBy(*by).count().agg(F.max(lags(F.col("count")))).first()[0]
+        d = d.withColumn("__maxlag", lags(F.col("__n")))
+        cap = longest or 0
     else:
         d = d.withColumn("__maxlag", F.lit(maxlag))
         cap = maxlag
@@ -178,6 +196,8 @@ def adf_test(df: DataFrame, col: str = "close", spec: SeriesSpec = DEFAULT_SPEC,
                     sel = list(range(1 + p)) + [k]
                     b0, beta = linear._solve(n, mean[sel], c[np.ix_(sel, sel)], 0.0)
                     sse = linear._sse(n, mean[sel], c[np.ix_(sel, sel)], b0, beta)
+                    if not sse > 1e-12 * max(c[k, k], 1e-300):
+                        continue  # an exact fit tells nothing of the order
                     llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1)
                     aic = -2 * llf + 2 * (p + 2)
                     if aic < best_aic:
@@ -192,7 +212,7 @@ def adf_test(df: DataFrame, col: str = "close", spec: SeriesSpec = DEFAULT_SPEC,
     rows = rows.filter(F.col("__pos") > F.col("lag_sel") + 1)
     full = linear.gram(rows, names, "__dy", [*by, "lag_sel"])
     out_schema = T.StructType(key_fields + [T.StructField("nobs", T.LongType()), T.StructField("used_lag", T.LongType()),
-                                            T.StructField("adf_stat", T.DoubleType())])
+                                            T.StructField("adf_stat", T.DoubleType()), T.StructField("p_value", T.DoubleType())])
 
     def stat(it):
         for pdf in it:
@@ -206,21 +226,18 @@ def adf_test(df: DataFrame, col: str = "close", spec: SeriesSpec = DEFAULT_SPEC,
                 b0, beta = linear._solve(n, mean[sel], cs, 0.0)
                 sse = linear._sse(n, mean[sel], cs, b0, beta)
                 dof = n - (p + 2)
-                s2 = sse / dof if dof > 0 else float("nan")
-                cov = np.linalg.pinv(cs[:-1, :-1]) * s2
-                t = beta[0] / math.sqrt(cov[0, 0]) if cov[0, 0] > 0 else float("nan")
-                out.append([getattr(r, x) for x in by] + [n, p, t])
-            yield pd.DataFrame(out, columns=by + ["nobs", "used_lag", "adf_stat"])
-
-    res = full.mapInPandas(stat, out_schema)
+                t = None
+                if dof > 0 and cs[0, 0] > 0 and sse > 1e-12 * cs[-1, -1]:
+                    var = np.linalg.pinv(cs[:-1, :-1])[0, 0] * sse / dof
+                    t = beta[0] / math.sqrt(var) if var > 0 else None
+                out.append([getattr(r, x) for x in by] + [n, p, t, None if t is None else adf_p_value(t)])
+            yield pd.DataFrame(out, columns=by + ["nobs", "used_lag", "adf_stat", "p_value"]).astype({"adf_stat": float, "p_value": float})
+
+    res = full.mapInPandas(stat, out_schema).withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("adf_stat", "p_value")})
     n = F.col("nobs").cast("double")
     crit = {k2: v[0] + v[1] / n + v[2] / (n * n) + v[3] / (n * n * n) for k2, v in ADF_CRIT_CONST.items()}
     return res.withColumns({"crit_1": crit["1%"], "crit_5": crit["5%"], "crit_10": crit["10%"]}).withColumn(
         "stationary", F.col("adf_stat") < F.col("crit_5"))
 
 
-def ar_forecast_columns(max_p: int, max_q: int) -> list[str]:
-    return _design_names(max_p, max_q)
-
-
 __all__: Sequence[str] = ["select_order", "walk_forward", "adf_test", "long_ar_residuals"]

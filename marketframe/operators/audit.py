@@ -26,7 +26,6 @@ MAE_RATIO_LOW, MAE_RATIO_HIGH = 0.9, 1.1
 GOOD_MODEL_DA = 0.52
 TIER_SUSPICIOUS_DA = 0.70
 TIER_GOOD_DA = 0.60
-RETURN_EPS = 1e-10
 BACKTEST_MIN_ROWS = 70    # 60-row backtest + 10 rows of history
 TRAINING_MIN_ROWS = 250
 
@@ -163,10 +162,11 @@ def history_gate(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, backtest_rows:
                             "training_ok": F.col("rows") >= F.lit(training_rows)})
 
 
-def file_profile(df: DataFrame, file_col: str = "_file", keys: Sequence[str] = ("symbol", "ts")) -> DataFrame:
-    """AU-11: per source file rows, first/last timestamp, and rows that survive a
-    keep-last merge (unique to that file after dedupe)."""
-    prof = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.min("ts").alias("first_ts"),
-                                    F.max("ts").alias("last_ts"))
-    return prof
-
+def file_profile(df: DataFrame, file_col: str = "_file", keys: Sequence[str] = ("symbol", "ts"), date_col: str = "ts",
+                 precedence: Sequence[str] | None = None) -> DataFrame:
+    """AU-11: per source file rows, first/last date, and the rows that survive a keep-last
+    merge by ``keys`` (``precedence`` columns ascending, by default the file name)."""
+    last = F.max(F.struct(*(precedence or [file_col]), F.col(file_col).alias("__file")))
+    unique = df.groupBy(*keys).agg(last["__file"].alias(file_col)).groupBy(file_col).agg(F.count(F.lit(1)).alias("unique_rows"))
+    rows = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
+    return rows.join(unique, file_col, "left").fillna(0, ["unique_rows"])

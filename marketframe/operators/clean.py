@@ -99,9 +99,3 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def keep_unscaled(df: DataFrame, cols: Sequence[str] = ("ret", "close")) -> DataFrame:
     """PF-14: keep unscaled copies ``{c}_unscaled`` before scaling."""
     return df.withColumns({f"{c}_unscaled": F.col(c) for c in cols if c in df.columns})
-
-
-def intraday_range(df: DataFrame) -> DataFrame:
-    """PF-15: ``high - low`` and ``(high - low) / close``."""
-    rng = F.col("high") - F.col("low")
-    return df.withColumns({"range": rng, "range_pct": safe_div(rng, F.col("close"))})

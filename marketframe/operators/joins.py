@@ -2,8 +2,8 @@
 
 All joins are equi-joins on ``(symbol, ts)`` or on small-table keys; Spark picks
 sort-merge or (with AQE, at runtime, below the broadcast threshold) broadcast.
-Explicit ``broadcast`` hints are used only on tables with a size bound (one row
-per series key, per model, or per file).
+Explicit ``broadcast`` hints are used only on literal tables (alias order, feature
+names) and single rows; for tables that grow with the data Spark decides at run time.
 """
 
 from __future__ import annotations
@@ -33,11 +33,6 @@ def intersect_keys(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("sy
     return left.join(right.select(*keys), list(keys), "left_semi")
 
 
-def overlap(train: DataFrame, test: DataFrame, keys: Sequence[str] = ("symbol", "ts")) -> DataFrame:
-    """JN-03: keys present in both splits."""
-    return train.select(*keys).intersect(test.select(*keys))
-
-
 def attach_predictions(rows: DataFrame, preds: DataFrame, keys: Sequence[str] = ("symbol", "ts"),
                        how: str = "inner") -> DataFrame:
     """JN-04: predictions joined to their rows by key, never by position."""
@@ -65,19 +60,3 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
-
-
-BROADCAST_MAX_ROWS = 200_000  # ~tens of MB for a row of 16 coefficients
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a parameter table only behind a checked size.
-
-    The table (one row per series, file or model) is materialised once with a
-    reliable checkpoint in the shared ``spark.checkpoint.dir`` and counted; up to
-    ``max_rows`` it is hinted for broadcast, beyond that it is returned as is and the
-    join falls back to a shuffle join on its keys (AQE skew-join splits hot keys)."""
-    from marketframe.session import checkpoint
-
-    small = checkpoint(small)
-    return F.broadcast(small) if small.count() <= max_rows else small

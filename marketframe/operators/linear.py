@@ -30,65 +30,55 @@ N_SPLITS = 5
 
 
 # ------------------------------------------------------------------ Gram rows
-WIDE_GRAM = 8  # above this many variables the Gram is built from numpy partials (one BLAS product per batch)
-MERGE_FANOUT = 512  # first-level merge groups per key for the numpy partials
+MERGE_FANOUT = 512  # first-level merge groups per key
+PARTIALS_HELD = 4096  # keys whose partials a task holds before it passes them on
 
 
 def gram(df: DataFrame, features: Sequence[str], target: str, by: Sequence[str]) -> DataFrame:
     """One row per group: ``n``, ``mean`` (k+1) and upper-triangular centred
     co-moments ``cm`` ((k+1)(k+2)/2) of ``[features..., target]``; rows with a NULL
-    in any of them are skipped (training form).
-
-    Up to ``WIDE_GRAM`` variables this is one hash aggregate of built-in
-    ``covar_pop`` (JVM-side, partial aggregation). Wider designs would need
-    hundreds of aggregate expressions, so each task instead reduces its rows per
-    key to one partial ``(n, mean, C)`` with numpy and a per-key merge combines the
-    partials (at most one per input partition and key)."""
-    z = list(features) + [target]
+    in any of them are skipped (training form). ``by=()`` is one group; a group
+    without rows has no Gram row.
+
+    Any width goes one way: each task reduces its rows per key to partials
+    ``(n, mean, C)`` with one BLAS product per batch, and partials merge in two
+    levels, so a key present in every input partition (a hot series, or the global
+    case) never sends one partial per input partition to a single task."""
+    z, keys = list(features) + [target], list(by) or ["__all"]
     d = df.na.drop(subset=z)
-    if len(z) > WIDE_GRAM:
-        return _gram_partials(d, z, list(by))
-    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
-    aggs = [F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in z]).alias("mean"),
-            F.array(*[F.covar_pop(z[i], z[j]) for i, j in pairs]).alias("cov")]
-    g = d.groupBy(*by).agg(*aggs)
-    return g.select(*by, "n", "mean", F.transform("cov", lambda c: c * F.col("n")).alias("cm"))
-
-
-def _gram_partials(d: DataFrame, z: list[str], by: list[str]) -> DataFrame:
+    if not by:
+        d = d.withColumn("__all", F.lit(0))
     m = len(z)
     iu = np.triu_indices(m)
-    schema = T.StructType([d.schema[c] for c in by] + [
+    schema = T.StructType([d.schema[c] for c in keys] + [
         T.StructField("n", T.LongType()), T.StructField("mean", T.ArrayType(T.DoubleType())),
         T.StructField("cm", T.ArrayType(T.DoubleType()))])
-    cols = by + ["n", "mean", "cm"]
+    cols = keys + ["n", "mean", "cm"]
+
+    def rows_of(acc: dict) -> pd.DataFrame:
+        return pd.DataFrame([[*k, n, mu.tolist(), c[iu].tolist()] for k, (n, mu, c) in acc.items()], columns=cols)
 
     def partial(it):
         acc: dict = {}
         for pdf in it:
-            for key, g in (pdf.groupby(by, sort=False, dropna=False) if by else [((), pdf)]):
+            for key, g in pdf.groupby(keys, sort=False, dropna=False):
                 x = g[z].to_numpy(dtype=float)
                 mu = x.mean(axis=0)
                 xc = x - mu
                 part = (len(x), mu, xc.T @ xc)
-                k = key if isinstance(key, tuple) else (key,)
-                acc[k] = _merge([acc[k], part]) if k in acc else part
-        rows = [list(k) + [n, mu.tolist(), c[iu].tolist()] for k, (n, mu, c) in acc.items()]
-        yield pd.DataFrame(rows, columns=cols)
+                acc[key] = _merge([acc[key], part]) if key in acc else part
+                if len(acc) > PARTIALS_HELD:
+                    yield rows_of(acc)
+                    acc.clear()
+        yield rows_of(acc)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, mu, c = _merge(_row_parts(pdf, m))
-        return pd.DataFrame([[pdf[b].iloc[0] for b in by] + [n, mu.tolist(), c[iu].tolist()]], columns=cols)
+        return rows_of({tuple(pdf[b].iloc[0] for b in keys): _merge(_row_parts(pdf, m))})
 
-    parts = d.select(*by, *z).mapInPandas(partial, schema)
-    # two-level merge: a key present in every input partition (a hot series, or the
-    # global case) first merges within MERGE_FANOUT salted groups, so no single
-    # pandas group receives one partial per input partition
+    parts = d.select(*keys, *z).mapInPandas(partial, schema)
     salted = parts.withColumn("__salt", F.spark_partition_id() % F.lit(MERGE_FANOUT))
-    stage1 = salted.groupBy(*by, "__salt").applyInPandas(merge, schema)
-    if not by:
-        return stage1.groupBy(F.lit(0)).applyInPandas(merge, schema)
-    return stage1.groupBy(*by).applyInPandas(merge, schema)
+    out = salted.groupBy(*keys, "__salt").applyInPandas(merge, schema).groupBy(*keys).applyInPandas(merge, schema)
+    return out if by else out.drop("__all")
 
 
 def _full(cm: np.ndarray, m: int) -> np.ndarray:
@@ -122,6 +112,8 @@ def _solve(n: int, mean: np.ndarray, c: np.ndarray, alpha: float) -> tuple[float
     d = np.sqrt(np.clip(np.diag(cxx), 0, None))
     d[d == 0] = 1.0
     a = (cxx + alpha * np.eye(k)) / np.outer(d, d)
+    if not np.isfinite(a).all():
+        return float("nan"), np.full(k, np.nan)
     gamma = np.linalg.lstsq(a, cxy / d, rcond=None)[0]
     beta = gamma / d
     b0 = mean[k] - mean[:k] @ beta
@@ -130,7 +122,7 @@ def _solve(n: int, mean: np.ndarray, c: np.ndarray, alpha: float) -> tuple[float
 
 def _sse(n: int, mean: np.ndarray, c: np.ndarray, b0: float, beta: np.ndarray) -> float:
     w = np.append(-beta, 1.0)
-    return float(w @ c @ w + n * (w @ mean - b0) ** 2)
+    return float(max(w @ c @ w, 0.0) + n * (w @ mean - b0) ** 2)
 
 
 def _row_parts(pdf: pd.DataFrame, m: int):
@@ -194,10 +186,9 @@ def importance(coefs: DataFrame, features: Sequence[str], by: Sequence[str] = ("
 def score_linear(df: DataFrame, coefs: DataFrame, features: Sequence[str], by: Sequence[str] = ("symbol",),
                  out: str = "pred") -> DataFrame:
     """ML-05: ``intercept + Σ coef_i x_i`` after joining the coefficient table by key
-    (one row per key, broadcast only behind a size check)."""
-    from marketframe.operators.joins import sized_broadcast
-    params = sized_broadcast(coefs.select(*by, F.col("intercept").alias("__b0"), F.col("coef").alias("__b")))
-    j = df.join(params, list(by), "left")
+    (one row per key; without keys one row). Spark picks the join by the table's size at run time."""
+    params = coefs.select(*by, F.col("intercept").alias("__b0"), F.col("coef").alias("__b"))
+    j = df.join(params, list(by), "left") if by else df.crossJoin(F.broadcast(params))
     expr: Column = F.col("__b0")
     for i, f in enumerate(features):
         expr = expr + F.col("__b")[i] * F.col(f)
@@ -218,14 +209,6 @@ def fold_blocks(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, n_splits: int =
     return df.withColumn(out, F.when(t > 0, blk).cast("int"))
 
 
-def fold_frame(df: DataFrame, n_splits: int = N_SPLITS, block: str = "block") -> DataFrame:
-    """ML-03 long form: one row per (row, fold) with ``role`` train/test."""
-    folds = F.sequence(F.lit(1), F.lit(n_splits))
-    d = df.withColumn("fold", F.explode(folds))
-    role = F.when(F.col(block) < F.col("fold"), F.lit("train")).when(F.col(block) == F.col("fold"), F.lit("test"))
-    return d.withColumn("role", role).filter(F.col("role").isNotNull())
-
-
 def ridge_grid(df: DataFrame, features: Sequence[str], target: str, spec: SeriesSpec = DEFAULT_SPEC,
                alphas: Sequence[float] = RIDGE_ALPHAS, n_splits: int = N_SPLITS) -> dict[str, DataFrame]:
     """ML-04: time-series CV grid over ``alphas`` scored by MSE (first best wins),

@@ -88,10 +88,12 @@ def champion_verdict(ranked: DataFrame, baseline: DataFrame, group: Sequence[str
 
 
 def pointer_json(verdict: DataFrame, name_prefix: str = "model_") -> DataFrame:
-    """RG-04 pointer record as JSON text (nested ``metrics`` / ``baseline_metrics``)."""
+    """RG-04 pointer record as JSON text (nested ``metrics`` / ``baseline_metrics``);
+    ``model_version`` comes from a column ``version`` if there is one."""
+    version = F.col("version").cast("string") if "version" in verdict.columns else F.lit(None).cast("string")
     name = F.concat(F.lit(name_prefix), F.col("model_type"))
     rec = F.struct(
-        F.col("run_id"), F.col("model_type"), name.alias("model_name"), F.lit("champion").alias("model_alias"),
+        F.col("run_id"), F.col("model_type"), name.alias("model_name"), version.alias("model_version"), F.lit("champion").alias("model_alias"),
         F.concat(F.lit("models:/"), name, F.lit("@champion")).alias("model_uri"),
         F.struct(F.col("rmse")).alias("metrics"),
         F.struct(F.col("baseline_rmse").alias("rmse"), F.col("baseline_da").alias("directional_accuracy")).alias(
@@ -114,9 +116,9 @@ def best_vs_latest(runs: DataFrame, group: Sequence[str] = (), by: str = "rmse")
 def top_by_alias(aliases: DataFrame, versions: DataFrame, group: Sequence[str] = (), n: int = 3) -> DataFrame:
     """RG-06: for each alias in champion/challenger/candidate order (first ``n``), the
     first model name (ascending) holding it, with its version's run."""
-    order = aliases.sparkSession.createDataFrame([(a, i) for i, a in enumerate(ALIAS_ORDER[:n])],
-                                                 "alias string, alias_rank int")
-    a = aliases.join(F.broadcast(order), "alias")  # order: at most 3 rows
+    names = [*ALIAS_ORDER, *[f"rank_{i}" for i in range(len(ALIAS_ORDER) + 1, n + 1)]][:n]
+    order = aliases.sparkSession.createDataFrame([(a, i) for i, a in enumerate(names)], "alias string, alias_rank int")
+    a = aliases.join(F.broadcast(order), "alias")  # order: n rows
     w = Window.partitionBy(*group, "alias").orderBy("name")
     first = a.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
     return first.join(versions, [*group, "name", "version"], "left").select(

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values that must equal the reference for equal results.
 MUST_KEEP = ["ret", "ma_50", "ret_20d", "lag_2", "lag_3", "open", "high", "low", "close"]
@@ -58,59 +60,55 @@ def redundancy_prune(cands: DataFrame, corr_matrix: DataFrame, by: Sequence[str]
     return cands.join(dropped, [*by, "feature"], "left_anti")
 
 
+def surviving(corr: np.ndarray, score: np.ndarray, threshold: float) -> np.ndarray:
+    """FS-06's rule on one group: which features stay.
+
+    Features come up in order. A newcomer meets the earlier features that are still in
+    and correlate with it by more than ``threshold``. It is out if any of them has the
+    higher score; those of them that have not are out (so ties, and comparisons with a
+    missing score, go to the newcomer). A newcomer that is out still meets all of them."""
+    alive = np.zeros(len(score), bool)
+    for new in range(len(score)):
+        rivals = alive & (corr[new] > threshold)
+        better = rivals & (score > score[new])
+        alive ^= rivals & ~better
+        alive[new] = not better.any()
+    return alive
+
+
 def greedy_prune(corr_matrix: DataFrame, target_corr: DataFrame, features: Sequence[str], by: Sequence[str] = (),
                  threshold: float = REDUNDANT_CORR) -> DataFrame:
-    """FS-06: order-dependent greedy prune over the upper triangle. Column j (in
-    feature order) is compared with every earlier row i where |corr| > threshold and
-    i is not yet dropped: the one with the lower |target corr| is dropped (ties drop
-    the earlier row i). Returns ``(by..., feature, dropped)`` for every feature."""
-    import numpy as np
-    import pandas as pd
-
-    feats = list(features)
-    pos = {f: i for i, f in enumerate(feats)}
-    by_l = list(by)
-    m = corr_matrix.select(*by_l, "feature_a", "feature_b", F.abs("corr").alias("pc"), F.lit(None).cast(
-        "double").alias("tc"), F.lit("pair").alias("kind"))
-    t = target_corr.select(*by_l, F.col("feature").alias("feature_a"), F.lit(None).cast("string").alias("feature_b"),
-                           F.lit(None).cast("double").alias("pc"), F.abs("corr").alias("tc"), F.lit("target").alias("kind"))
-    both = m.unionByName(t)
-    key_schema = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in both.select(*by_l).schema.fields)
-    out_schema = (key_schema + "," if key_schema else "") + "feature string, dropped boolean"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = len(feats)
-        upper = np.full((k, k), np.nan)
-        score = {f: np.nan for f in feats}
-        for r in pdf.itertuples(index=False):
-            if r.kind == "target":
-                if r.feature_a in pos:
-                    score[r.feature_a] = r.tc
-            elif r.feature_a in pos and r.feature_b in pos:
-                i, j = sorted((pos[r.feature_a], pos[r.feature_b]))
-                upper[i, j] = r.pc
-        to_drop: list[str] = []
-        for j in range(k):
-            col = feats[j]
-            hits = [i for i in range(j) if upper[i, j] > threshold]
-            cur = score[col]
-            for i in hits:
-                feat = feats[i]
-                if feat in to_drop:
-                    continue
-                if cur < score[feat]:
-                    if col not in to_drop:
-                        to_drop.append(col)
-                elif feat not in to_drop:
-                    to_drop.append(feat)
-        res = pd.DataFrame({"feature": feats, "dropped": [f in to_drop for f in feats]})
-        for c in reversed(by_l):
-            res.insert(0, c, pdf[c].iloc[0])
-        return res
-
-    if by_l:
-        return both.groupBy(*by_l).applyInPandas(run, out_schema)
-    return both.groupBy(F.lit(0).alias("__g")).applyInPandas(run, out_schema)
+    """FS-06: order-dependent prune of correlated features per group (see :func:`surviving`).
+    Returns ``(by..., feature, dropped)`` for every feature. A group is k scores and at
+    most k² correlations, gathered to two arrays before the Python step."""
+    feats, keys = list(features), list(by) or ["__all"]
+    if not by:
+        corr_matrix, target_corr = (d.withColumn("__all", F.lit(0)) for d in (corr_matrix, target_corr))
+    place = F.create_map(*[x for i, f in enumerate(feats) for x in (F.lit(f), F.lit(i))])
+    scores = target_corr.groupBy(*keys).agg(F.collect_list(F.struct(place[F.col("feature")].alias("i"), F.abs("corr").alias("s"))).alias("scores"))
+    pairs = corr_matrix.groupBy(*keys).agg(F.collect_list(F.struct(
+        place[F.col("feature_a")].alias("i"), place[F.col("feature_b")].alias("j"), F.abs("corr").alias("c"))).alias("pairs"))
+    k = len(feats)
+
+    def run(it):
+        for pdf in it:
+            stays = []
+            for r in pdf.itertuples(index=False):
+                corr, score = np.full((k, k), np.nan), np.full(k, np.nan)
+                for p in r.pairs if r.pairs is not None else ():
+                    if p["i"] is not None and p["j"] is not None and p["c"] is not None:
+                        corr[p["i"], p["j"]] = corr[p["j"], p["i"]] = p["c"]
+                for p in r.scores:
+                    if p["i"] is not None and p["s"] is not None:
+                        score[p["i"]] = p["s"]
+                stays.append(surviving(corr, score, threshold).tolist())
+            yield pdf[keys].assign(stays=stays)
+
+    joined = scores.join(pairs, keys, "left")
+    fields = T.StructType([joined.schema[c] for c in keys] + [T.StructField("stays", T.ArrayType(T.BooleanType()))])
+    out = joined.mapInPandas(run, fields)
+    rows = F.arrays_zip(F.array(*[F.lit(f) for f in feats]).alias("feature"), F.transform("stays", lambda x: ~x).alias("dropped"))
+    return out.select(*by, F.inline(rows))
 
 
 def feature_metadata(df: DataFrame, selected: Sequence[str], scaled: Sequence[str],

@@ -69,16 +69,17 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], by: Sequence[str]
         m = len(feats)
         g = gram(df, feats[:-1], feats[-1], by)
 
-        def at(i: int, j: int):
-            return F.col("cm")[i * m - i * (i - 1) // 2 + (j - i)]
-
-        items = []
-        for i in range(m):
-            for j in range(i + 1, m):
-                den = F.sqrt(at(i, i) * at(j, j))
-                items.append(F.struct(F.lit(feats[i]).alias("feature_a"), F.lit(feats[j]).alias("feature_b"),
-                                      F.when(den > 0, at(i, j) / den).alias("corr")))
-        return g.select(*by, F.inline(F.array(*items)))
+        def at(i: int, j: int) -> int:
+            return i * m - i * (i - 1) // 2 + (j - i)
+
+        # one literal table of pairs and places, and one expression for all of them
+        places = F.array(*[F.struct(F.lit(feats[i]).alias("feature_a"), F.lit(feats[j]).alias("feature_b"),
+                                    F.lit(at(i, i)).alias("ii"), F.lit(at(j, j)).alias("jj"), F.lit(at(i, j)).alias("ij"))
+                           for i in range(m) for j in range(i + 1, m)])
+        p = g.select(*by, "cm", F.inline(places))
+        cm = F.col("cm")
+        den = F.sqrt(F.get(cm, F.col("ii")) * F.get(cm, F.col("jj")))
+        return p.select(*by, "feature_a", "feature_b", F.when(den > 0, F.get(cm, F.col("ij")) / den).alias("corr"))
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
     names = [f"{a}|{b}" for a, b in pairs]
     wide = df.groupBy(*by).agg(*[corr_safe(a, b).alias(n) for (a, b), n in zip(pairs, names)])

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketframe.operators import scale
+from marketframe.operators import forecast, scale
 from marketframe.plans import train
 from marketframe.plans.q_bars import BAR_TRAIN_SQL
 from marketframe.plans.q_runs import RUNS_SQL
@@ -164,14 +164,14 @@ def champion_pointer_json_ticks(spark, sf_dir):
     from marketframe.operators import runs as rg
     from marketframe.plans import q_runs
     from marketframe.functions import metrics as M
-    t = train.with_naive_prediction(train.tick_training_frame(spark, sf_dir)).filter(F.col("split") == "test")
+    t = forecast.naive_prediction(train.tick_training_frame(spark, sf_dir)).filter(F.col("split") == "test")
     t = t.withColumn("experiment", F.concat(F.lit("exp_"), (F.col("symbol") % 10).cast("string")))
     base = t.groupBy("experiment").agg(M.rmse("actual", "pred").alias("baseline_rmse"),
                                        M.directional_accuracy("actual", "pred").alias("baseline_da"))
     v = rg.champion_verdict(q_runs.tick_ranking(q_runs.tick_runs(spark, sf_dir)), base, ["experiment"])
     root = scratch_dir(spark, "pointers")
     rg.pointer_json(v).select("pointer").write.mode("overwrite").text(root)
-    back = spark.read.schema(files.POINTER_SCHEMA).json(root)
+    back = files.read_json(spark, root, files.POINTER_SCHEMA, multi_line=False)
     return back.select("run_id", "model_type", "model_name", "model_alias", F.col("metrics.rmse").alias("rmse"),
                        F.col("baseline_metrics.rmse").alias("baseline_rmse"),
                        F.col("baseline_metrics.directional_accuracy").alias("baseline_da"))

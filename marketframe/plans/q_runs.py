@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketframe.functions import metrics as M
+from marketframe.operators import forecast
 from marketframe.operators import runs as rg
 from marketframe.plans import train
 from marketframe.plans.q_series import TICK_FEATURES_SQL
@@ -140,7 +141,7 @@ SELECT r.experiment, r.run_id, r.model_type, r.rmse, bl.baseline_rmse, bl.baseli
 FROM ranked2 r LEFT JOIN bl ON r.experiment = bl.experiment WHERE r.rank = 1""",
                   ["rmse", "baseline_rmse", "baseline_da"]), covers=("RG-04",))
 def champion_verdict_ticks(spark, sf_dir):
-    t = train.with_naive_prediction(train.tick_training_frame(spark, sf_dir)).filter(F.col("split") == "test")
+    t = forecast.naive_prediction(train.tick_training_frame(spark, sf_dir)).filter(F.col("split") == "test")
     t = t.withColumn("experiment", F.concat(F.lit("exp_"), (F.col("symbol") % 10).cast("string")))
     base = t.groupBy("experiment").agg(M.rmse("actual", "pred").alias("baseline_rmse"),
                                        M.directional_accuracy("actual", "pred").alias("baseline_da"))

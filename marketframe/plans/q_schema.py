@@ -48,14 +48,14 @@ def configured_features_bars(spark, sf_dir):
 
 @register("io06_flatten_two_level_bars",
           rounded(f"""WITH {BARS}
-SELECT symbol, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS Date, max(close) AS Close, max(high) AS High
-FROM bars WHERE hour(ts) = 12 GROUP BY 1, 2""", ["Close", "High"]),
+SELECT symbol, ts AS Date, close AS Close, high AS High
+FROM bars""", ["Close", "High"]),
           covers=("IO-06",))
 def flatten_two_level_bars(spark, sf_dir):
-    """A wide frame with two-level ``field|ticker`` columns (one per event type, the
-    noon bar of each day) flattened back to a long panel keyed by ticker."""
-    b = panels.bars_1h(spark, sf_dir).filter(F.hour("ts") == 12)
-    wide = b.groupBy(F.to_date("ts").alias("Date")).pivot("symbol").agg(
+    """A wide frame with two-level ``field|ticker`` columns (one per event type) flattened
+    back to a long panel keyed by ticker."""
+    b = panels.bars_1h(spark, sf_dir)
+    wide = b.groupBy(F.col("ts").alias("Date")).pivot("symbol").agg(
         F.first("close").alias("Close"), F.first("high").alias("High"))
     # pivot names columns '<ticker>_<field>'; rename to the two-level 'field|ticker' form
     ren = {}

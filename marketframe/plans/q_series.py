@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketframe.functions import metrics as M
-from marketframe.operators import clean, evaluate as ev, features as wn, rows
+from marketframe.operators import clean, evaluate as ev, features as wn, forecast, rows
 from marketframe.plans import train
 from marketframe.plans.registry import TICKS, W, pct, register, roll, rounded
 from marketframe.sources import panels
@@ -42,7 +42,7 @@ FROM tt WHERE split = 'test' GROUP BY symbol""", ["rmse", "mae", "directional_ac
 )
 def naive_baseline_ticks(spark, sf_dir):
     """How good is tomorrow = today, per series, on the test split?"""
-    t = train.with_naive_prediction(train.tick_training_frame(spark, sf_dir))
+    t = forecast.naive_prediction(train.tick_training_frame(spark, sf_dir))
     return ev.evaluate(t.filter(F.col("split") == "test"), ["symbol"])
 
 
@@ -95,7 +95,7 @@ FROM s GROUP BY symbol, split""", ["mean_strategy_return", "sharpe_ratio", "win_
     covers=("AG-12", "ML-11"),
 )
 def trading_metrics_ticks(spark, sf_dir):
-    t = train.with_naive_prediction(train.tick_training_frame(spark, sf_dir))
+    t = forecast.naive_prediction(train.tick_training_frame(spark, sf_dir))
     return ev.trading_metrics(t, ["symbol", "split"])
 
 
@@ -110,7 +110,7 @@ FROM tt GROUP BY symbol, split""", ["rmse", "mae", "r2", "directional_accuracy"]
     covers=("AG-09", "AG-10", "AG-11"),
 )
 def regression_metrics_ticks(spark, sf_dir):
-    t = train.with_naive_prediction(train.tick_training_frame(spark, sf_dir))
+    t = forecast.naive_prediction(train.tick_training_frame(spark, sf_dir))
     return ev.regression_metrics(t, ["symbol", "split"])
 
 

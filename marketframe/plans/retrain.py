@@ -67,7 +67,7 @@ def retrain(frame: DataFrame, configs: Mapping[str, tuple[Sequence[str], float]]
     aliases = ranked.select("experiment", name.alias("name"), "alias", F.lit(1).cast("bigint").alias("version"))
     picked = checkpoint(rg.top_by_alias(aliases, versions, G, top_n))
     # ML-18: refit each picked model with its stored configuration on all rows
-    target_rows = picked.select(F.col("experiment"), F.substring_index("name", "_", -1).alias("model_type"))
+    target_rows = picked.select(F.col("experiment"), F.expr("substring(name, length(experiment) + 2)").alias("model_type"))
     pred_all = None
     for model_type, (feats, alpha) in configs.items():
         sel = target_rows.filter(F.col("model_type") == model_type).select(F.col("experiment").alias("__e"))

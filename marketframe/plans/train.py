@@ -45,8 +45,3 @@ def bar_training_frame(spark: SparkSession, sf_dir: str, feature_cols: Sequence[
     f = wn.training_rows(bar_features(spark, sf_dir, spec), feature_cols)
     f = clean.keep_unscaled(f, ("ret", "close"))
     return rows.split_fraction(f, spec)
-
-
-def with_naive_prediction(df: DataFrame, today: str = "ret") -> DataFrame:
-    """Tomorrow = today: the forecast of the next return is today's return."""
-    return df.withColumns({"actual": F.col("target"), "pred": F.col(today)})

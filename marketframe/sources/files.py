@@ -4,17 +4,19 @@
   directory per range, ``partitionBy`` over a derived range column) and listed
   back through ``_metadata.file_path`` - the catalog is a DataFrame.
 * Ragged CSVs (different column sets/orders, vendor 3-line headers, stringified
-  tuple names) are parsed **by name**: each file's first line is its header, every
-  data line becomes a ``map(header -> field)``; meta lines drop out because their
-  first field is not a date. Spark's positional multi-file CSV read would silently
-  swap columns between files with different orders.
-* Compaction is a self range-join on the (small) catalog: a file is superseded
-  when another file's range contains it.
+  tuple names) are parsed **by name**, line by line, so large files split over tasks:
+  each file's header line (one small row) joins its data lines by file, and a column is
+  taken at its place in that header. Meta lines drop out because their first field is
+  not a date. Spark's positional multi-file CSV read would silently swap columns
+  between files with different orders. Batch and stream share this parser.
+* Compaction is one sort per key: a file is superseded when a file before it in order
+  of (start, end descending) reaches at least as far.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,12 +26,13 @@ from pyspark.sql import types as T
 from marketframe.operators.rows import dedupe_keep_last
 
 # Fixed values that must equal the reference for equal results.
-RANGE_NAME = "data_{end}_from_{start}"
 RANGE_PATTERN = r"data_(\d{4}-\d{2}-\d{2})_from_(\d{4}-\d{2}-\d{2})"
 MERGED_NAME = "merged"
 DATE_HEADERS = ("Date", "Price")          # first header cell of a data file
 VALUE_COLUMNS = ("Close", "High", "Low", "Open", "Volume")
-META_ROW_MARKERS = ("Ticker", "Date")     # vendor lines 2 and 3
+
+TUPLE_NAME = r"""^\(\s*(?:'([^']*)'|"([^"]*)")\s*,.*\)$"""
+CELL_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)(?![^(]*\))'  # a comma outside quotes and parentheses
 
 OHLCV_SCHEMA = T.StructType([
     T.StructField("Date", T.DateType()), T.StructField("Close", T.DoubleType()),
@@ -39,10 +42,13 @@ OHLCV_SCHEMA = T.StructType([
 
 # ------------------------------------------------------------------ names
 def clean_column_name(name: str) -> str:
-    """IO-04: ``"('Close', 'EURUSD=X')"`` -> ``Close``; plain names are trimmed."""
+    """IO-04: ``('Close', 'EURUSD=X')`` -> ``Close``, with either kind of quotes and also
+    when the whole cell is quoted; plain names are trimmed."""
     s = name.strip()
-    m = re.match(r"^\(\s*'([^']*)'\s*,.*\)$", s)
-    return m.group(1) if m else s
+    if len(s) > 1 and s[0] == s[-1] == '"':
+        s = s[1:-1].replace('""', '"').strip()
+    m = re.match(TUPLE_NAME, s)
+    return (m.group(1) if m.group(1) is not None else m.group(2)) if m else s
 
 
 def dedupe_columns(df: DataFrame) -> DataFrame:
@@ -77,40 +83,69 @@ def read_csv(spark: SparkSession, paths, schema: T.StructType = OHLCV_SCHEMA) ->
     return df.withColumn("_file", F.url_decode(F.col("_metadata.file_path")))
 
 
+def read_lines(spark: SparkSession, paths) -> DataFrame:
+    """Lines of all files below ``paths``: ``_file, _row`` (its order within the file), ``value``."""
+    return numbered(spark.read.option("recursiveFileLookup", "true").text(paths).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), "value"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their order in the file: the block's offset, then the order of reading."""
+    return lines.select(F.url_decode("_path").alias("_file"), F.struct(
+        F.col("_block").alias("block"), F.monotonically_increasing_id().alias("line")).alias("_row"), "value")
+
+
+def parse_ragged(lines: DataFrame, value_columns: Sequence[str] = VALUE_COLUMNS) -> DataFrame:
+    """IO-02/IO-03 on lines (``_file, _row, value``): ``_file, _row, Date, <value_columns>...``.
+
+    A file's header is its first line that starts with ``Price`` or, without one, with
+    ``Date``; its cells are cleaned (IO-04), and of equal names the first counts (IO-05)."""
+    value = F.regexp_replace("value", "\r", "")
+    first = _clean_name_col(F.element_at(F.split(value, CELL_COMMA, 2), 1))
+    is_header = first.isin(*DATE_HEADERS)
+    heads = lines.withColumn("__first", first).where(is_header).groupBy("_file").agg(
+        F.min_by(value, F.struct(F.when(F.col("__first") == "Price", 0).otherwise(1), "_row")).alias("__h"))
+    heads = heads.select("_file", F.transform(F.split("__h", CELL_COMMA), _clean_name_col).alias("__hdr"))
+    fields = F.split(value, CELL_COMMA)
+    cell = F.btrim(F.element_at(fields, 1), F.lit(' "'))
+    date = F.to_date(F.coalesce(F.try_to_timestamp(cell, F.lit("yyyy-MM-dd")),
+                                F.try_to_timestamp(cell, F.lit("yyyy-MM-dd HH:mm:ss"))))
+    body = lines.select("_file", "_row", date.alias("Date"), fields.alias("__f")).where(F.col("Date").isNotNull())
+
+    def column(c: str) -> Column:
+        at = F.array_position("__hdr", c)
+        text = F.when(at > 0, F.get("__f", (at - 1).cast("int")))
+        return F.btrim(text, F.lit(' "')).try_cast("double").alias(c)
+
+    return body.join(heads, "_file").select("_file", "_row", "Date", *[column(c) for c in value_columns])
+
+
 def read_ragged(spark: SparkSession, paths, value_columns: Sequence[str] = VALUE_COLUMNS) -> DataFrame:
     """IO-02/IO-03: load files with differing headers by name.
 
     Output ``(_file, _row, Date, <value_columns>...)`` with values coerced to DOUBLE
-    (bad -> NULL). Files whose header lacks a column yield NULL for it; the vendor
-    3-line header (``Price,...`` / ``Ticker,...`` / ``Date,,,``) needs no skip count
-    because its meta lines have no date in the first field.
+    (bad -> NULL). Files whose header lacks a column yield NULL for it; lines without a
+    date (headers, the vendor's meta lines) drop out, and so do files without a header.
     """
-    raw = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True).select(
-        F.url_decode(F.col("_metadata.file_path")).alias("_file"), F.col("value"))
-    lines = raw.select("_file", F.split(F.regexp_replace("value", "\r", ""), "\n").alias("__lines"))
-    header = F.transform(F.split(F.element_at("__lines", 1), ","), lambda c: _clean_name_col(c))
-    body = lines.select("_file", header.alias("__hdr"),
-                        F.posexplode(F.slice("__lines", 2, 1 << 30)).alias("_row", "__line"))
-    body = body.filter(F.length(F.trim("__line")) > 0)
-    fields = F.split("__line", ",")
-    n = F.least(F.size("__hdr"), F.size(fields))
-    m = F.map_from_arrays(F.slice("__hdr", 1, n), F.slice(fields, 1, n))
-    first = F.trim(F.element_at(fields, 1))
-    date = F.coalesce(F.try_to_timestamp(first, F.lit("yyyy-MM-dd")),
-                      F.try_to_timestamp(first, F.lit("yyyy-MM-dd HH:mm:ss")))
-    out = body.withColumn("__m", m).select(
-        "_file", F.col("_row").cast("bigint").alias("_row"), F.to_date(date).alias("Date"),
-        *[F.expr(f"try_cast(trim(try_element_at(__m, '{c}')) as double)").alias(c) for c in value_columns])
-    return out.filter(F.col("Date").isNotNull())
+    return parse_ragged(read_lines(spark, paths), value_columns)
 
 
 def _clean_name_col(c: Column) -> Column:
-    """Column twin of :func:`clean_column_name`, and the vendor ``Price`` header cell
-    is the date column."""
+    """Column twin of :func:`clean_column_name`."""
     t = F.trim(c)
-    tup = F.regexp_extract(t, r"^\(\s*'([^']*)'\s*,.*\)$", 1)
-    name = F.when(tup != "", tup).otherwise(t)
-    return F.when(name == "Price", F.lit("Date")).otherwise(name)
+    t = F.when(t.rlike('^".*"$'), F.trim(F.replace(F.regexp_replace(t, '^"|"$', ""), F.lit('""'), F.lit('"')))).otherwise(t)
+    tup = F.coalesce(F.nullif(F.regexp_extract(t, TUPLE_NAME, 1), F.lit("")), F.nullif(F.regexp_extract(t, TUPLE_NAME, 2), F.lit("")))
+    return F.coalesce(tup, t)
+
+
+def with_precedence(rows: DataFrame) -> DataFrame:
+    """The one order of writers, for batch and stream: the merged file lowest, then range
+    names ascending (``_prec, _name``), then ``_file`` and ``_row``."""
+    return rows.withColumns({"_prec": F.when(F.col("_file").contains(MERGED_NAME), F.lit(0)).otherwise(F.lit(1)),
+                             "_name": F.regexp_extract("_file", RANGE_PATTERN, 0)})
+
+
+PRECEDENCE = ("_prec", "_name", "_file", "_row")
 
 
 def load_history(spark: SparkSession, paths, symbol: Column | str | None = None,
@@ -125,9 +160,7 @@ def load_history(spark: SparkSession, paths, symbol: Column | str | None = None,
     else:
         sym = F.col(symbol) if isinstance(symbol, str) else symbol
     r = r.withColumn("symbol", sym)
-    r = r.withColumns({"_prec": F.when(F.col("_file").contains(MERGED_NAME), F.lit(0)).otherwise(F.lit(1)),
-                       "_name": F.regexp_extract("_file", RANGE_PATTERN, 0)})
-    d = dedupe_keep_last(r, ("symbol", "Date"), ("_prec", "_name", "_row"))
+    d = dedupe_keep_last(with_precedence(r), ("symbol", "Date"), PRECEDENCE)
     return d.drop("_prec", "_name")
 
 
@@ -153,16 +186,47 @@ def write_range_partitions(df: DataFrame, path: str, bucket: Column, keys: Seque
     return d
 
 
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path`` by renaming; the old folder
+    goes only after that, so a failed write or rename loses nothing."""
+    jvm = spark.sparkContext._jvm
+    at, fresh, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, f"{new}-old"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"can't move {path}")
+    if not fs.rename(fresh, at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"can't move {new}")
+    if had:
+        fs.delete(old, True)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_merged(df: DataFrame, path: str, keys: Sequence[str] = ("symbol",), fmt: str = "parquet") -> None:
-    """IO-08: full-history write partitioned by series key (write a new folder and
-    swap it in; Spark's overwrite replaces the target atomically per job)."""
-    df.write.mode("overwrite").partitionBy(*keys).format(fmt).option("header", True).save(path)
+    """IO-08: full-history write partitioned by series key: a new folder beside the target,
+    then :func:`swap_in`. ``df`` may read the target."""
+    new = f"{path.rstrip('/')}-new-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.partitionBy(*keys).format(fmt).option("header", True).save(new)
+        swap_in(df.sparkSession, new, path)
+    except Exception:
+        _delete(df.sparkSession, new)
+        raise
 
 
 def save_processed(frame: DataFrame, scaler: DataFrame, path: str, split_col: str = "split") -> None:
-    """IO-09: processed features partitioned by split, and the scaler table."""
-    frame.write.mode("overwrite").partitionBy(split_col).parquet(f"{path}/features")
-    scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+    """IO-09: processed features partitioned by split, and the scaler table; both are
+    written in full before they take the old ones' places."""
+    new = f"{path.rstrip('/')}-new-{uuid.uuid4().hex[:12]}"
+    frame.write.partitionBy(split_col).parquet(f"{new}/features")
+    scaler.write.parquet(f"{new}/scaler")
+    swap_in(frame.sparkSession, new, path)
 
 
 def load_processed(spark: SparkSession, path: str, split: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -192,9 +256,9 @@ def metadata_sidecar(frame: DataFrame, features: Sequence[str], path: str | None
 def catalog(spark: SparkSession, paths) -> DataFrame:
     """IO-12: one row per range-named file ``(path, name, start, end)``; files
     without a range in their path are the merged/legacy ones (start/end NULL)."""
-    files = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True).select(
-        F.url_decode(F.col("_metadata.file_path")).alias("path"))
-    return files_catalog(files)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    # the content column is pruned: only the listing is read
+    return files_catalog(files.select(F.url_decode(F.col("_metadata.file_path")).alias("path")))
 
 
 def files_catalog(files: DataFrame, path_col: str = "path") -> DataFrame:
@@ -213,27 +277,14 @@ def latest_date(cat: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def superseded(cat: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """IO-13 / JN-08: files whose range lies inside another file's range
     (``old.start >= new.start and old.end <= new.end``, self excluded; of two equal
-    ranges the lexically smaller path is superseded)."""
-    from marketframe.operators.joins import sized_broadcast
-    old = cat.alias("o")
-    # one row per file: broadcast behind a size check; beyond it the join runs as a
-    # shuffle join on the ``by`` keys with the range condition as a filter
-    new = sized_broadcast(cat).alias("n")
-    cond = (F.col("o.start") >= F.col("n.start")) & (F.col("o.end") <= F.col("n.end")) & (
-        F.col("o.path") != F.col("n.path"))
-    same = (F.col("o.start") == F.col("n.start")) & (F.col("o.end") == F.col("n.end"))
-    cond = cond & (~same | (F.col("o.path") < F.col("n.path")))
-    for k in by:
-        cond = cond & (F.col(f"o.{k}") == F.col(f"n.{k}"))
-    return old.join(new, cond, "left_semi")
-
-
-def file_profile(df: DataFrame, file_col: str = "_file", date_col: str = "Date",
-                 keys: Sequence[str] = ("symbol", "Date")) -> DataFrame:
-    """AU-11: per file rows, first/last date and rows that survive the keep-last merge."""
-    prof = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.min(date_col).alias("first_date"),
-                                    F.max(date_col).alias("last_date"))
-    return prof
+    ranges the lexically smaller path is superseded). Files without a range are left out.
+
+    In order of (start, end descending, path descending) every file that contains another
+    comes before it, so one running maximum of ``end`` per key decides; without ``by`` the
+    catalog (one row per file) is one group."""
+    ranged = cat.where(F.col("start").isNotNull() & F.col("end").isNotNull())
+    before = Window.partitionBy(*by).orderBy("start", F.desc("end"), F.desc("path")).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("__reach", F.max("end").over(before)).where(F.col("__reach") >= F.col("end")).drop("__reach")
 
 
 # ------------------------------------------------------------------ JSON
@@ -251,10 +302,10 @@ POINTER_SCHEMA = T.StructType([
                                                     T.StructField("directional_accuracy", T.DoubleType())]))])
 
 
-def read_json(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
+def read_json(spark: SparkSession, paths, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """IO-14: nested JSON documents (configs, champion pointers) with an explicit
-    schema; ``multiLine`` so pretty-printed files parse."""
-    return spark.read.schema(schema).option("multiLine", "true").json(paths).withColumn(
+    schema; ``multi_line`` so pretty-printed files parse, else one document a line."""
+    return spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(paths).withColumn(
         "_file", F.url_decode(F.col("_metadata.file_path")))
 
 

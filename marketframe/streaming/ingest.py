@@ -1,12 +1,12 @@
 """Incremental ingest of newly arrived range files.
 
-A file stream (``readStream.csv`` with an explicit schema) feeds ``foreachBatch``;
-each micro-batch is upserted into a history table partitioned by series key with
-**dynamic partition overwrite**, so a batch rewrites only the series it touches.
-Keep-last precedence is the batch id (later files win, SS-02 late corrections
-replace earlier bars - no watermark drops them). Re-running a batch with the same
-id writes the same partitions with the same content, so the sink is idempotent and
-a restarted query (same checkpoint) neither loses nor duplicates rows.
+A file stream of lines feeds ``foreachBatch``; each micro-batch is parsed by name, as
+in the batch loader, and upserted into a history table partitioned by series key and
+year with **dynamic partition overwrite**, so a batch rewrites only what it touches.
+Which row wins depends on the files' names alone, as in the batch load, so files may
+arrive in any order (no watermark drops late ones). Re-running a batch writes the same
+partitions with the same content, so the sink is idempotent and a restarted query
+(same checkpoint) neither loses nor duplicates rows.
 """
 
 from __future__ import annotations
@@ -15,13 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marketframe.operators.rows import dedupe_keep_last
 from marketframe.session import checkpoint
-
-DAILY_SCHEMA = T.StructType([T.StructField("Date", T.DateType()), T.StructField("Close", T.DoubleType())])
-
+from marketframe.sources import files
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -34,47 +31,56 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str] = ("symbol", "Date"),
-                 part: Sequence[str] = ("symbol",)) -> None:
-    """Merge one micro-batch into ``table`` (Parquet partitioned by ``part`` and the
-    year of the date key). Only the touched (series, year) partitions are read and
-    rewritten, so a late bar in a huge series does not rewrite its whole history."""
+                 part: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Merge one micro-batch of parsed rows into ``table`` (Parquet partitioned by ``part`` and
+    the year of the date key). Only the touched (series, year) partitions are read and
+    rewritten, so a late bar in a huge series does not rewrite its whole history. Which row
+    wins is :data:`files.PRECEDENCE`, as in the batch load, whatever the order of arrival.
+
+    Returns the keys whose row the batch changed (``symbol, Date``), from the same pass."""
     spark = batch.sparkSession
-    b = batch.withColumns({"_prec": F.lit(int(batch_id) + 1).cast("bigint"),
-                           "_name": F.regexp_extract("_file", r"[^/]*$", 0),
-                           "bucket_year": F.year(F.col(keys[1]))}).drop("_file")
+    b = files.with_precedence(batch).withColumn("bucket_year", F.year(F.col(keys[1])))
     parts = [*part, "bucket_year"]
+    b = b.withColumn("__new", F.lit(True))
     if _table_exists(spark, table):
         touched = b.select(*parts).distinct()
         old = spark.read.parquet(table).join(touched, parts, "left_semi")
-        merged = old.unionByName(b, allowMissingColumns=True)
-    else:
-        merged = b
-    merged = dedupe_keep_last(merged, tuple(keys), ("_prec", "_name"))
+        b = old.withColumn("__new", F.lit(False)).unionByName(b, allowMissingColumns=True)
+    # equal precedence (a re-run of the batch) leaves the old row: nothing changes
+    merged = dedupe_keep_last(b.withColumn("__old", ~F.col("__new")), tuple(keys), (*files.PRECEDENCE, "__old"))
     # materialise before overwriting partitions that the plan also reads
     merged = checkpoint(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.drop("__new", "__old").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(table))
+    return merged.where("__new").select(*keys)
 
 
 def run_ingest(spark: SparkSession, source: str, table: str, checkpoint_location: str,
-               schema: T.StructType = DAILY_SCHEMA, symbol_pattern: str = r"symbol=([^/]+)") -> None:
+               value_columns: Sequence[str] = files.VALUE_COLUMNS, symbol_pattern: str = r"symbol=([^/]+)") -> None:
     """SS-01: process every file that arrived since the last run, then stop
-    (``trigger(availableNow=True)``); progress lives in ``checkpoint_location``."""
-    stream = (spark.readStream.schema(schema).option("header", "true").option("recursiveFileLookup", "true")
-              .csv(source)
-              .withColumn("_file", F.url_decode(F.col("_metadata.file_path"))))
-    stream = stream.withColumn("symbol", F.regexp_extract("_file", symbol_pattern, 1))
-    q = (stream.writeStream.foreachBatch(lambda df, bid: upsert_batch(df, bid, table))
-         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
+    (``trigger(availableNow=True)``); progress lives in ``checkpoint_location``. Lines go
+    through the batch loader's by-name parser (a file's lines are always in one batch), so
+    vendor headers, reordered and missing columns load as there."""
+    lines = spark.readStream.option("recursiveFileLookup", "true").text(source).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), "value")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rows = files.parse_ragged(files.numbered(batch), value_columns)
+        upsert_batch(rows.withColumn("symbol", F.regexp_extract("_file", symbol_pattern, 1)), batch_id, table)
+
+    q = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location).trigger(
+        availableNow=True).start()
     q.awaitTermination()
 
 
 def changed_since(table_before: DataFrame, table_after: DataFrame, keys: Sequence[str] = ("symbol", "Date"),
                   value: str = "Close") -> DataFrame:
-    """SS-02: per series the first date whose value changed or appeared."""
-    b = table_before.select(*keys, F.col(value).alias("__old"))
-    a = table_after.select(*keys, value)
-    diff = a.join(b, list(keys), "left").filter(F.col("__old").isNull() | (F.col("__old") != F.col(value)))
+    """SS-02: per series the first date whose value changed (also to or from NULL),
+    appeared or went away."""
+    b = table_before.select(*keys, F.struct(F.col(value)).alias("__old"))
+    a = table_after.select(*keys, F.struct(F.col(value)).alias("__now"))
+    # a row that is not there has a NULL struct, a NULL value one with a NULL in it
+    diff = a.join(b, list(keys), "full").where(~F.col("__old").eqNullSafe(F.col("__now")))
     return diff.groupBy(keys[0]).agg(F.min(keys[1]).alias("first_changed"))
 
 

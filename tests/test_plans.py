@@ -36,10 +36,23 @@ def test_dedupe_is_partial_aggregate(spark):
     assert "partial_max_by" in text or "partial_" in text
 
 
-def test_small_parameter_table_is_broadcast(spark):
-    from marketframe.operators import linear
+def test_scoring_plans_without_running_jobs(spark):
+    from marketframe.operators import linear, scale
     t = train.bar_training_frame(spark, SMALL)
+    spark.sparkContext.setJobGroup("planning", "")
     coefs = linear.fit_linear(t.filter(F.col("split") == "train"), ["ret"], "target", ["symbol"])
     scored = linear.score_linear(t.filter(F.col("split") == "test"), coefs, ["ret"])
-    assert "BroadcastHashJoin" in plan_text(scored)
+    scaled = scale.transform_minmax(t, ["ret"], scaler=scale.fit_minmax(t, ["ret"]), keys=["symbol"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setJobGroup("running", "")
     assert scored.filter(F.col("pred").isNull()).count() == 0
+    assert scaled.count() == t.count()
+
+
+def test_readers_split_files_and_compaction_needs_no_nested_loop(spark, tmp_path):
+    from marketframe.sources import files
+    (tmp_path / "data_2024-01-02_from_2024-01-01.csv").write_text("Date,Close\n2024-01-01,1\n2024-01-02,2\n")
+    # (pushed into the scan, the whole-text option would show as one row per file)
+    assert files.read_lines(spark, str(tmp_path)).count() == 3
+    assert "NestedLoop" not in plan_text(files.superseded(files.catalog(spark, str(tmp_path))))
+    assert "content" not in plan_text(files.catalog(spark, str(tmp_path))).split("ReadSchema")[-1]
