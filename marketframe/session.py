@@ -51,6 +51,27 @@ def checkpoint(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send the package to the workers, once per application, so that Python steps run
+    there wherever the job was started. Workers that have it installed get the same code."""
+    import zipfile
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="mf-code-"), "marketframe.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate tables."""
     import uuid
