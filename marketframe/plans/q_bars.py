@@ -60,13 +60,9 @@ ALL_BAR_COLS = ["open", "high", "low", "close", "volume", "ret", "ma_5", "ma_10"
 def bar_predictions(spark, sf_dir):
     """Long prediction frame ``(symbol, ts, seq, split, ret, actual, model, pred)``."""
     t = train.bar_training_frame(spark, sf_dir)
-    base = t.select("symbol", "ts", "seq", "split", "ret", F.col("target").alias("actual"))
-    ma5 = F.avg("ret").over(DEFAULT_SPEC.last(5))
-    naive = base.withColumns({"model": F.lit("naive"), "pred": F.col("ret")})
-    zero = base.withColumns({"model": F.lit("zero"), "pred": F.lit(0.0)})
-    mov = t.select("symbol", "ts", "seq", "split", "ret", F.col("target").alias("actual"),
-                   F.lit("ma5").alias("model"), ma5.alias("pred"))
-    return naive.unionByName(zero).unionByName(mov)
+    base = t.select("symbol", "ts", "seq", "split", "ret", F.col("target").alias("actual"), F.avg("ret").over(DEFAULT_SPEC.last(5)).alias("ma5"))
+    models = [F.struct(F.lit(m).alias("model"), p.alias("pred")) for m, p in (("naive", F.col("ret")), ("zero", F.lit(0.0)), ("ma5", F.col("ma5")))]
+    return base.select("symbol", "ts", "seq", "split", "ret", "actual", F.inline(F.array(*models)))
 
 
 @register("wn19_extended_features_bars",

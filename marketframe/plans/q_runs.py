@@ -16,6 +16,7 @@ from marketframe.operators import runs as rg
 from marketframe.plans import train
 from marketframe.plans.q_series import TICK_FEATURES_SQL
 from marketframe.plans.registry import register, rounded
+from marketframe.session import checkpoint
 from marketframe.spec import DEFAULT_SPEC
 
 G = ["experiment"]
@@ -26,9 +27,9 @@ def tick_runs(spark, sf_dir):
     t = t.withColumn("ma5", F.avg("ret").over(DEFAULT_SPEC.last(5)))
     n_train = t.filter(F.col("split") == "train").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_train"))
     test = t.filter(F.col("split") == "test").select("symbol", "ts", F.col("target").alias("actual"), "ret", "ma5")
-    preds = (test.select("symbol", "ts", "actual", F.lit("naive").alias("model"), F.col("ret").alias("pred"))
-             .unionByName(test.select("symbol", "ts", "actual", F.lit("zero").alias("model"), F.lit(0.0).alias("pred")))
-             .unionByName(test.select("symbol", "ts", "actual", F.lit("ma5").alias("model"), F.col("ma5").alias("pred"))))
+    # one pass: the three predictors of a row come from one explode
+    preds = test.select("symbol", "ts", "actual", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), p.alias("pred")) for m, p in (("naive", F.col("ret")), ("zero", F.lit(0.0)), ("ma5", F.col("ma5")))])))
     a, p = F.col("actual"), F.col("pred")
     m = preds.groupBy("symbol", "model").agg(
         F.count(F.lit(1)).alias("n"), M.rmse(a, p).alias("rmse"), M.mae(a, p).alias("mae"),
@@ -250,7 +251,7 @@ u AS (SELECT experiment, name, alias, version, 0 AS p FROM aliases UNION ALL SEL
 SELECT experiment, name, alias, arg_max(version, p) AS version FROM u GROUP BY experiment, name, alias""",
           covers=("RG-12",))
 def repoint_aliases_ticks(spark, sf_dir):
-    r = tick_runs(spark, sf_dir)
+    r = checkpoint(tick_runs(spark, sf_dir))  # one small row per run, used many times below
     v = tick_versions(r)
     al = tick_aliases(r, v)
     picked = rg.top_by_alias(al, v, G).select("experiment", "name", "alias")
