@@ -58,25 +58,25 @@ def orders(v: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 
 
 class InvertedFiles:
-    """By pivot: the vectors that have it in their order, and its place there."""
+    """By pivot: every vector's place of it in its order, or ``prefix`` where it is absent. A block's vectors are few and the files of
+    a quarter of the pivots or more hold each of them, so a file is a row of places without ids."""
 
     def __init__(self, order: np.ndarray, pivots: int):
-        n, self.prefix = order.shape
-        flat = order.ravel()
-        by = np.argsort(flat, kind="stable")
-        self.cut = np.searchsorted(flat[by], np.arange(pivots + 1))
-        self.vector, self.place = (by // self.prefix).astype(np.int32), (by % self.prefix).astype(np.int32)
-        self.n = n
+        n, prefix = order.shape
+        self.place = np.full((pivots, n), prefix, np.uint16)
+        self.place[order.ravel(), np.repeat(np.arange(n), prefix)] = np.tile(np.arange(prefix), n)
         # what a shared pivot saves against one that either side lacks: both would count as moved to the end
-        i = np.arange(self.prefix)
-        self.saves = ((self.prefix - i)[:, None] + (self.prefix - i)[None, :] - np.abs(i[:, None] - i[None, :])).astype(np.int32)
-        self.most = int(self.prefix * (self.prefix + 1))
+        i = np.arange(prefix)
+        self.saves = np.zeros((prefix, prefix + 1), np.int32)
+        self.saves[:, :prefix] = (prefix - i)[:, None] + (prefix - i)[None, :] - np.abs(i[:, None] - i[None, :])
+        self.most = int(prefix * (prefix + 1))
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
-        out = np.full(self.n, self.most, np.int32)
+        out = np.full(self.place.shape[1], self.most, np.int32)
+        part = np.empty_like(out)
         for i, p in enumerate(order.tolist()):
-            a, b = self.cut[p], self.cut[p + 1]
-            out[self.vector[a:b]] -= self.saves[i][self.place[a:b]]
+            np.take(self.saves[i], self.place[p], out=part, mode="clip")
+            out -= part
         return out
 
 
@@ -122,7 +122,7 @@ def search_block(t: pa.Table, pivots: np.ndarray, prefix: int, rerank: int, k: i
     return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
 
 
-def neighbours(rows: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, pivots: int = 512, prefix: int = 128, rerank: int = 512, block_rows: int = 4096, query_rows: int = 2048) -> DataFrame:
+def neighbours(rows: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, pivots: int = 256, prefix: int = 96, rerank: int = 512, block_rows: int = 4096, query_rows: int = 2048) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``is_query`` (a condition on the column ``id``)."""
     vectors = valid(rows, id_col, vector_col)
     n = vectors.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
