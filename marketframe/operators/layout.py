@@ -17,6 +17,8 @@ inside the chunk. Every step is partitioned by something finer than the series.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
@@ -57,17 +59,43 @@ def halo_blocks(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, lookback: int =
     d = positions(df, spec, chunk)
     b = F.floor(F.col("__pos") / F.lit(block_rows)).cast("bigint")
     r = F.col("__pos") % F.lit(block_rows)
-    home = d.withColumns({"__block": b, "__halo": F.lit(False)})
-    back = d.filter(r >= F.lit(block_rows - lookback)).withColumns({"__block": b + 1, "__halo": F.lit(True)})
-    out = home.unionByName(back)
-    if lookahead:
-        fwd = d.filter((r < F.lit(lookahead)) & (F.col("__pos") >= F.lit(block_rows))).withColumns(
-            {"__block": b - 1, "__halo": F.lit(True)})
-        out = out.unionByName(fwd)
+
+    def place(block, halo: bool):
+        return F.struct(block.alias("__block"), F.lit(halo).alias("__halo"))
+
+    # positions are computed once; a row goes to its own block and, near an edge, to the neighbour's halo
+    places = F.array(place(b, False), F.when(r >= F.lit(block_rows - lookback), place(b + 1, True)),
+                     F.when((r < F.lit(lookahead)) & (b > 0), place(b - 1, True)))
+    out = d.withColumn("__p", F.explode(F.filter(places, lambda p: p.isNotNull())))
+    out = out.withColumns({"__block": F.col("__p")["__block"], "__halo": F.col("__p")["__halo"]}).drop("__p")
     blocked = replace(spec, keys=tuple(spec.keys) + ("__block",), order=("__pos",))
     return out, blocked
 
 
+# how many earlier rows a feature reads, by its name; rolling returns read one more than their window
+REACH = ((r"(?:.*_)?ma_(\d+)$", -1), (r"(?:.*_)?(?:rsi|atr)_(\d+)$", 0), (r"(?:.*_)?(?:ret|vol)_(\d+)d$", 0), (r"(?:.*_)?lag_(\d+)$", 1))
+REACH_FIXED = {"ret": 1, "true_range": 1, "vol_ratio": 20, "diff": 1}
+
+
+def lookback_for(features: Sequence[str]) -> int:
+    """Rows of look-back that the named features need; unknown names read their own row only."""
+    need = [0]
+    for f in features:
+        name = f.removesuffix("_prev")
+        own = max([int(m[1]) + extra for rx, extra in REACH if (m := re.match(rx, name))], default=REACH_FIXED.get(name, 0))
+        need.append(own + (name != f))
+    return max(need)
+
+
+def on_blocks(df: DataFrame, build: Callable[[DataFrame, SeriesSpec], DataFrame], spec: SeriesSpec = DEFAULT_SPEC,
+              lookback: int = 0, lookahead: int = 0, block_rows: int = 1_000_000, chunk: str = "hour") -> DataFrame:
+    """Any windowed operator on the blocked layout: ``build(frame, blocked_spec)`` sees the
+    blocks with their halos (and ``__pos``, ``__n``); its rows come back without them. Exact
+    for operators that reach at most ``lookback`` rows back and ``lookahead`` forward."""
+    frame, blocked = halo_blocks(df, spec, lookback, lookahead, block_rows, chunk)
+    return drop_halo(build(frame, blocked)).drop("__pos", "__n")
+
+
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("__halo")).drop("__halo", "__block", "__chunk")
 
@@ -77,3 +105,46 @@ def split_fraction_blocked(df: DataFrame, fraction: float = 0.8, out: str = "spl
     the split needs no window at all."""
     cut = F.floor(F.col("__n") * F.lit(float(fraction)))
     return df.withColumn(out, F.when(F.col("__pos") < cut, F.lit("train")).otherwise(F.lit("test")))
+
+
+def fold_blocks_blocked(df: DataFrame, n_splits: int = 5, out: str = "block") -> DataFrame:
+    """ML-03 on positions: the fold of a row is arithmetic, without a window."""
+    t = F.floor(F.col("__n") / F.lit(n_splits + 1))
+    first = F.col("__n") - F.lit(n_splits) * t
+    fold = F.when(F.col("__pos") < first, F.lit(0)).otherwise(F.lit(1) + F.floor((F.col("__pos") - first) / t))
+    return df.withColumn(out, F.when(t > 0, fold).cast("int"))
+
+
+def rows_between_blocked(df: DataFrame, first: int, last: int, pos_col: str = "pos") -> DataFrame:
+    """SL-09 on positions: 1-based rows ``first..last`` of every series."""
+    return df.withColumn(pos_col, F.col("__pos") + 1).where(F.col(pos_col).between(first, last))
+
+
+def equity_curve_blocked(df: DataFrame, ret_col: str, spec: SeriesSpec = DEFAULT_SPEC, out: str = "equity",
+                         block_rows: int = 1_000_000, chunk: str = "hour") -> DataFrame:
+    """WN-13 for a series too large for one task: growth within each block, times the
+    running product of the blocks before it (one row per block)."""
+    frame, blocked = halo_blocks(df, spec, 0, 0, block_rows, chunk)
+    growth = F.coalesce(F.lit(1.0) + F.col(ret_col), F.lit(1.0))
+    ends = frame.groupBy(*blocked.keys).agg(F.product(growth).alias("__g"), F.count(ret_col).alias("__c"))
+    before = Window.partitionBy(*spec.keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.withColumns({"__carry": F.coalesce(F.product("__g").over(before), F.lit(1.0)), "__seen": F.coalesce(F.sum("__c").over(before), F.lit(0))}).drop("__g", "__c")
+    w = blocked.cumulative()
+    d = frame.join(carry, list(blocked.keys))
+    value = F.when(F.col("__seen") + F.count(ret_col).over(w) > 0, F.col("__carry") * F.product(growth).over(w))
+    return drop_halo(d.withColumn(out, value)).drop("__pos", "__n", "__carry", "__seen")
+
+
+def autocorrelation_blocked(df: DataFrame, col: str, nlags: int, spec: SeriesSpec = DEFAULT_SPEC,
+                            block_rows: int = 1_000_000, chunk: str = "hour") -> DataFrame:
+    """AG-05 for a series too large for one task: the mean is one partial aggregate, the lagged
+    products come from blocks with ``nlags`` rows of halo. Long form ``(keys..., lag, acf)``."""
+    d = df.where(F.col(col).isNotNull())
+    mean = d.groupBy(*spec.keys).agg(F.avg(col).alias("__mean"))
+    frame, blocked = halo_blocks(d, spec, nlags, 0, block_rows, chunk)
+    x = frame.join(mean, list(spec.keys)).withColumn("__d", F.col(col) - F.col("__mean"))
+    w = blocked.window()
+    x = drop_halo(x.withColumns({f"__l{k}": F.lag("__d", k).over(w) for k in range(1, nlags + 1)}))
+    den = F.sum(F.col("__d") * F.col("__d"))
+    wide = x.groupBy(*spec.keys).agg(*[F.try_divide(F.coalesce(F.sum(F.col("__d") * F.col(f"__l{k}")), F.lit(0.0)), den).alias(str(k)) for k in range(1, nlags + 1)])
+    return wide.unpivot(list(spec.keys), [str(k) for k in range(1, nlags + 1)], "lag", "acf").withColumn("lag", F.col("lag").cast("bigint"))

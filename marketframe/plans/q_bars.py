@@ -275,9 +275,9 @@ def hit_flags_bars(spark, sf_dir):
           covers=("WN-19",))
 def extended_features_halo_bars(spark, sf_dir):
     """Same features through the halo-block layout used for a series too large for
-    one task: 200-row blocks with a 50-row look-back halo and a 1-row look-ahead."""
+    one task: 200-row blocks with the look-back that the features need and a 1-row look-ahead."""
     from marketframe.operators import clean, layout
     b = clean.positive_prices(panels.bars_1h(spark, sf_dir))
-    blocked, spec = layout.halo_blocks(b, lookback=50, lookahead=1, block_rows=200, chunk="day")
+    blocked, spec = layout.halo_blocks(b, lookback=layout.lookback_for(ALL_BAR_COLS), lookahead=1, block_rows=200, chunk="day")
     out = layout.drop_halo(wn.extended_features(blocked, spec))
     return out.select("symbol", "ts", "seq", *ALL_BAR_COLS)

@@ -42,3 +42,33 @@ def test_blocked_positions_and_split(spark):
     assert got == want
     pos = d.groupBy("symbol").agg(F.min("__pos").alias("lo"), F.max("__pos").alias("hi"), F.count("*").alias("n"))
     assert all(r.lo == 0 and r.hi == r.n - 1 for r in pos.collect())
+
+
+def test_lookback_follows_the_features():
+    assert layout.lookback_for(["open", "target"]) == 0
+    assert layout.lookback_for(["ma_50", "ret"]) == 49
+    assert layout.lookback_for(["ret_20d", "lag_5"]) == 20
+    assert layout.lookback_for(["lag_5", "lag_2"]) == 6
+    assert layout.lookback_for(["rsi_14", "true_range"]) == 14
+    assert layout.lookback_for(["ma_20_prev"]) == 20
+    assert layout.lookback_for(COLS) == 49
+
+
+def test_one_key_with_a_third_of_the_rows_spreads_over_blocks(spark):
+    """A hot series: no (symbol, block) group is larger than a block and its halo, and the
+    results are those of plain windows."""
+    rows = [("hot", i, i, 100.0 + (i * 37 % 101)) for i in range(2000)] + [(f"s{k}", i, i, 50.0 + (i * 13 % 29)) for k in range(40) for i in range(100)]
+    d = spark.createDataFrame(rows, "symbol string, sec bigint, seq bigint, close double").withColumn(
+        "ts", F.timestamp_seconds(F.col("sec") * 600)).drop("sec")
+    plain = wn.moving_averages(wn.returns(d), (5, 10))
+    blocked = layout.on_blocks(d, lambda x, spec: wn.moving_averages(wn.returns(x, spec), (5, 10), spec),
+                               lookback=layout.lookback_for(["ret", "ma_10"]), block_rows=150, chunk="hour")
+    key = lambda r: (r.symbol, r.seq)
+    a = {key(r): (r.ret, r.ma_5, r.ma_10) for r in plain.collect()}
+    b = {key(r): (r.ret, r.ma_5, r.ma_10) for r in blocked.collect()}
+    assert a.keys() == b.keys() and all(_same(x, y) for k in a for x, y in zip(a[k], b[k]))
+    frame, spec = layout.halo_blocks(d, lookback=9, lookahead=0, block_rows=150, chunk="hour")
+    assert frame.groupBy(*spec.keys).count().agg(F.max("count")).first()[0] <= 159
+    e = {key(r): r.equity for r in wn.equity_curve(plain, "ret").collect()}
+    f = {key(r): r.equity for r in layout.equity_curve_blocked(plain, "ret", block_rows=150).collect()}
+    assert all(_same(e[k], f[k]) for k in e)
