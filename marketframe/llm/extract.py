@@ -45,12 +45,13 @@ ITEM_ENDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("t
 # fixed values: what is not an article's text
 NEVER = frozenset("head nav footer aside form button dialog menu audio video canvas object label fieldset input".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-CUES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored sponsors promo promos promotion promoted banner cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay paywall "
-    "sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist reply replies disqus respond share sharing social related recommended recommendations newsletter subscribe subscription signup login "
-    "signin searchbox searchform widget widgets toolbar pagination pager skip".split()
+CUES = re.compile(
+    r"(?:user|reader|post|site|page|top|bottom|left|right|inline)?(?:ads?|adv|advert\w*|ad(?:slot|unit|box|banner|block|container|wrapper|sense)|sponsor\w*|promo(?:s|tion|tions|ted)?|banner\w*|cookie\w*|consent|gdpr|"
+    r"notices?|notifications?|alerts?|popup\w*|modal\w*|overlay|paywall|sidebar\w*|aside|menus?|menubar|nav|navbar|navmenu|navigation|breadcrumbs?|footer\w*|masthead|"
+    r"comments?(?:list|section|area|body|text|form|box|thread|block|wrapper)?|reply|replies|disqus\w*|respond|share|shares|sharing|share(?:bar|box|buttons)|social\w*|related\w*|recommend\w*|"
+    r"newsletter\w*|subscri\w*|signup|login|signin|search(?:bar|box|form)?|widgets?|toolbar|pagination|pager|skip(?:link)?)"
 )
-OUTER_CUES = frozenset("header topbar".split())
+OUTER_CUES = re.compile("header|topbar")
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -78,8 +79,8 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         if name == "role" and value.lower() in ROLES:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if words & CUES or not inside and words & OUTER_CUES:
+            words = {w.lower() for w in _WORD.findall(value)} | {w.lower() for w in value.split()}
+            if any(CUES.fullmatch(w) or not inside and OUTER_CUES.fullmatch(w) for w in words):
                 return True
     return False
 

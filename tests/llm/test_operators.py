@@ -325,6 +325,11 @@ PAGE = """<!DOCTYPE html><html><head><title>No</title><script>var a="<p>no</p>";
 
 def test_extraction():
     assert extract.main_text(PAGE) == "A & B\n\nFirst para graph, bold text.\n\nSecond <one> link.\n\nItem one\n\nItem two"
+    for cue in ("comments", "userComments", "comment-list", "commentsection", "ad-slot", "adslot top", "cookie_banner", "site-footer", "newsletterBox", "related-posts", "mod-notice"):
+        page = f"<body><div class='{cue}'><p>Long words of a reader, and so on.</p></div><article class='post'><h2>T</h2><p>One, two.</p><div id='{cue}'><p>No.</p></div></article></body>"
+        assert extract.main_text(page) == "T\n\nOne, two.", cue
+    for kept in ("content", "commentary", "shareholders", "address", "navy-facts", "article-body"):
+        assert extract.main_text(f"<article><div class='{kept}'><p>One, two.</p></div></article>") == "One, two.", kept
     soup = "<div id=top><a href=1>Home</a> <a href=2>News</a></div><div><h1>T</h1><div><p>" + "Long words, and so on. " * 9 + "</p><p>Be.</p></div></div><div><a href=3>More</a></div>"
     assert extract.main_text(soup) == "T\n\n" + ("Long words, and so on. " * 9).strip() + "\n\nBe."
     for page in (None, "", "   ", "<html>", "<nav>Menu</nav>", "<!-- x", "<script>a", "<p", "<a href='x>y"):
