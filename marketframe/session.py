@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before checkpointing")
         current = tempfile.mkdtemp(prefix="mf-ckpt-")
+        # our own scratch folder of a local session goes when the process ends
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
@@ -64,7 +68,9 @@ def ship_code(spark: SparkSession) -> None:
     if app in _shipped:
         return
     package = Path(__file__).resolve().parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="mf-code-"), "marketframe.zip")
+    folder = tempfile.mkdtemp(prefix="mf-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "marketframe.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
