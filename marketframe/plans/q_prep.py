@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketframe.operators import clean, features as wn, joins, rows, scale
 from marketframe.plans import train
 from marketframe.plans.q_bars import BAR_FEATURES_SQL, BAR_TRAIN_SQL
+from marketframe.session import checkpoint
 from marketframe.plans.registry import DAILY, TICKS, W, register, rounded
 from marketframe.sources import ingest, panels
 from marketframe.spec import DEFAULT_SPEC
@@ -250,7 +251,7 @@ SELECT symbol, CAST(count(*) AS BIGINT) AS rows_all,
 FROM bf GROUP BY symbol""",
           covers=("PF-02", "PF-03", "PF-04"))
 def null_drops_bars(spark, sf_dir):
-    f = train.bar_features(spark, sf_dir).drop("seq")
+    f = checkpoint(train.bar_features(spark, sf_dir).drop("seq"))  # four forms of one frame
     counts = [
         f.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows_all")),
         clean.drop_null_rows(f, ["ma_50"]).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows_subset")),
