@@ -2,8 +2,8 @@
 
 Documents with equal sets are one node from the start. A set's n-grams are put in one global order, rare ones first, and two sets that are alike
 enough share an n-gram of their prefixes (the first ``size - ceil(t * size) + 1``). The prefix n-grams are dealt out by n-gram;
-a length filter, a positional filter and a suffix filter (differences of histograms of the n-grams, a lower bound of the distance)
-prune pairs; what is left is verified once per pair on the whole sets.
+a length filter, a positional filter and a suffix filter (differences of histograms of the n-grams, a lower bound of the distance: eight
+counts on each post, then 64 per set on each distinct pair) prune pairs; what is left is verified once per pair on the whole sets.
 
 Groups instead of all pairs: a first round pairs the nodes of an n-gram with that of the earliest position only (in a group of near copies,
 the one nearest to their origin), which finds nearly all groups with as many pairs as prefix entries. A second round makes every pair that passes the
@@ -35,6 +35,7 @@ BUCKETS = 1 << 20
 SLICES = 16
 BITS = 1 << 24
 SMALL = 16
+SIG = 64
 
 
 def ngram_sets(w: Words, n: int) -> Iterator[np.ndarray]:
@@ -58,18 +59,19 @@ def at_least(size, num: int, den: int):
 
 
 def sizes_and_nodes(docs: DataFrame, n: int, kind: str) -> DataFrame:
-    """``id, key, size, node`` of docs (id, key, text)."""
+    """``id, key, size, node, sig`` (histogram of the set) of docs (id, key, text)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, node = [], []
+            size, node, sig = [], [], []
             for _, w in pieces(batch.column("text"), kind):
                 for s in ngram_sets(w, n):
                     size.append(len(s))
                     node.append(node_of(s))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(size, pa.int64()), pa.array(node, pa.binary())], names=["id", "key", "size", "node"])
+                    sig.append((np.bincount((s & np.uint64(SIG - 1)).astype(np.int64), minlength=SIG) % 256).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(size, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())], names=["id", "key", "size", "node", "sig"])
 
-    return docs.mapInArrow(step, f"id {docs.schema['id'].dataType.simpleString()}, key string, size bigint, node binary")
+    return docs.mapInArrow(step, f"id {docs.schema['id'].dataType.simpleString()}, key string, size bigint, node binary, sig binary")
 
 
 def frequency_sketch(docs: DataFrame, n: int, kind: str) -> np.ndarray:
@@ -161,8 +163,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], at_least_rows: int = 200_00
         yield pa.Table.from_batches(kept)
 
 
-def stars(posts: DataFrame) -> DataFrame:
-    """Posts of n-grams that several nodes have, with the node of the earliest position: ``lead, lead_size, lead_pos, lead_hist``."""
+def stars(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """Posts of n-grams that several nodes have, with the node of the earliest position: ``lead, lead_size, lead_pos, lead_hist``; and
+    ``again``: whether the post may link to another than the lead (known for small groups, taken for granted in others)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
@@ -182,11 +185,27 @@ def stars(posts: DataFrame) -> DataFrame:
             head = t.take(pa.array(lead[several]))
             for c in ("node", "size", "pos", "hist"):
                 out = out.append_column(f"lead_{c}", head.column(c))
-            yield from out.rename_columns([*POST.names, "lead", "lead_size", "lead_pos", "lead_hist"]).to_batches(max_chunksize=50_000)
+            out = out.append_column("again", pa.array(_again(out, num, den)))
+            yield from out.rename_columns([*POST.names, "lead", "lead_size", "lead_pos", "lead_hist", "again"]).to_batches(max_chunksize=50_000)
 
     # a node's posts have one size and one position a token: copies of a node are neighbours in this order
     dealt = posts.repartition("token").sortWithinPartitions("token", "pos", "size", "node")
-    return dealt.mapInArrow(step, POST_DDL + ", lead binary, lead_size int, lead_pos int, lead_hist bigint")
+    return dealt.mapInArrow(step, POST_DDL + ", lead binary, lead_size int, lead_pos int, lead_hist bigint, again boolean")
+
+
+def _again(t: pa.Table, num: int, den: int) -> np.ndarray:
+    """Rows of a table of whole groups, leads first, that pass the filters with a row other than their lead."""
+    token, size, pos, hist = (t.column(c).to_numpy().astype(np.int64) for c in ("token", "size", "pos", "hist"))
+    if not len(token):
+        return np.zeros(0, bool)
+    first = np.concatenate([[True], token[1:] != token[:-1]])
+    count = np.diff(np.append(np.flatnonzero(first), len(token)))
+    out = np.repeat(count > SMALL, count)
+    for d in range(1, min(SMALL, len(token))):
+        i = np.flatnonzero((token[:-d] == token[d:]) & ~first[:-d] & ~out[:-d])
+        i = i[may_link(size[i], pos[i], hist[i], size[i + d], pos[i + d], hist[i + d], num, den)]
+        out[i] = out[i + d] = True
+    return out
 
 
 def may_link(nx, px, hx, ny, py, hy, num: int, den: int):
@@ -220,7 +239,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def open_pairs(posts: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs of nodes that share a prefix n-gram, pass the filters and stand in different components."""
-    rooted = posts.select(*POST.names).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = posts.where("again").select(*POST.names).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
@@ -289,11 +308,30 @@ def likely(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.select("key", "text", bit).mapInArrow(step, "key string, text string")
 
 
+def plausible(pairs: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that pass the suffix filter on whole histograms (known: node, size, sig)."""
+    side = lambda c: known.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sx, sy = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SIG).astype(np.int16) for c in ("sx", "sy"))
+            nx, ny = b.column("nx").to_numpy(), b.column("ny").to_numpy()
+            d = np.abs(sx - sy)
+            ok = np.minimum(d, 256 - d).sum(axis=1) <= nx + ny - 2 * at_least(nx + ny, num, num + den)
+            yield b.filter(pa.array(ok)).select(["x", "y"])
+
+    return pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(step, "x binary, y binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, kind: str, num: int, den: int) -> DataFrame:
     """The pairs whose sets are alike enough. Texts are read again for nodes that stand in a pair."""
     asked = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    keys = nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key").distinct()
-    keys = written(keys, "keys")
+    known = written(nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sig").alias("sig")), "asked")
+    pairs = written(plausible(pairs, known, num, den), "pairs")
+    asked = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
+    keys = written(known.join(asked, "node", "left_semi").select("key"), "keys")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -324,7 +362,7 @@ def grouped(docs: DataFrame, *, id_col: str, text_col: str, n: int, threshold: t
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.md5(F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
     nodes = written(sizes_and_nodes(rows, n, kind), "nodes")
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(rows, n, kind))
-    posts = written(stars(prefix_posts(rows, sketch, n, kind, num, den)), "posts")
+    posts = written(stars(prefix_posts(rows, sketch, n, kind, num, den), num, den), "posts")
     tried = written(star_pairs(posts, num, den), "pairs")
     links = written(verified(tried, rows, nodes, n, kind, num, den), "links")
     roots = components(links)
