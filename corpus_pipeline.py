@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm.components import written
+from marketframe.llm.components import small_batches, written
 from marketframe.llm.decontaminate import decontaminate
 from marketframe.llm.jaccard import keep_one
 from marketframe.llm.langid import held_out, keep_known, sample
@@ -27,6 +27,7 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_known(docs, sample(docs.where(~held_out() & F.col("doc_id").isNotNull())))
 
 
@@ -36,10 +37,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.session import scratch_dir
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of 8 MB to Python workers where the session has Spark's default of 64 MB: a batch is held several
+    times over (JVM, both Arrow sides, Python), in every task of an executor."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("67108864b", "64m", "64MB"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from Parquet files in the shared folder: computed once, whatever is lost later."""
     path = scratch_dir(df.sparkSession, name)

@@ -199,7 +199,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     ``drop`` it goes, else its hit spans are cut from its text. In the others, spans of over ``max_span`` words
     are cut (none, if that is None). A cut takes the bytes from the span's first word to the next kept word."""
     names = docs.columns
-    keep = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    keep = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     spans = hit_spans(keep, benchmark, **options)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     spans = spans.withColumn("bad", (hit > 0) & (hit * coverage[1] >= F.col("n_words") * coverage[0]))

@@ -378,7 +378,8 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """Per document: id, n_shingles (size of its set) and component_id (smallest id reachable by links). The links themselves
     are those of ``verified``."""
     found = grouped(docs, id_col=id_col, text_col=text_col, n=n, threshold=threshold, kind=kind)
-    least = found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least"))
+    # a table of its own, so that the join below can split a hot group
+    least = written(found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least")), "least")
     return found.join(least, "root", "left").select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )

@@ -25,13 +25,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketframe.llm.automaton import SuffixAutomaton
 
 BLOCK = 1024
-PIECE = 4_000_000
+PIECE = 2_000_000
 ALPHABET = 64
 OTHER, GAP = 0, 1
 _built: dict = {}
@@ -42,7 +44,7 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_docs: int = 128, sample_chars: int = 512) -> dict[str, list[str]]:
+def sample(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_docs: int = 64, sample_chars: int = 512) -> dict[str, list[str]]:
     """A bounded sample of texts by label, on the driver."""
     rows = docs.select(F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
     chosen = [r.h for r in rows.groupBy("l", F.pmod("h", F.lit(sample_docs)).alias("slot")).agg(F.min("h").alias("h")).select("h").distinct().collect()]
@@ -163,12 +165,15 @@ def _without(p: list[int], c: int) -> Iterator[list[int]]:
         yield run
 
 
-def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1: how much the second language's parse costs more) and phrase_rate
-    (phrases a character, 1 for ``und``)."""
+    (phrases a character, 1 for ``und``); without the texts, if they are to be dropped."""
     bc = docs.sparkSession.sparkContext.broadcast(texts)
     key = uuid.uuid4().hex
-    out = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "phrase_rate": F.lit(1.0)})
+    docs = docs.drop("lang_pred", "score", "phrase_rate")
+    kept = [f for f in docs.schema if not (drop_text and f.name == text_col)]
+    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("phrase_rate", T.DoubleType())])
+    names = [f.name for f in kept]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _built:
@@ -176,28 +181,27 @@ def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "te
             _built[key] = Parser(bc.value)
         parser = _built[key]
         for batch in batches:
-            rows = [t or "" for t in batch.column(text_col).to_pylist()]
-            langs, scores, rates, i = [], [], [], 0
-            while i < len(rows):
-                j, size = i, 0
-                while j < len(rows) and (j == i or size + len(rows[j]) <= PIECE):
-                    size += len(rows[j])
-                    j += 1
-                a, b, c = parser.predict(rows[i:j])
-                langs += a
-                scores += b.tolist()
-                rates += c.tolist()
-                i = j
-            new = {"lang_pred": pa.array(langs, batch.schema.field("lang_pred").type), "score": pa.array(scores, pa.float64()), "phrase_rate": pa.array(rates, pa.float64())}
-            yield pa.RecordBatch.from_arrays([new.get(k, batch.column(k)) for k in batch.schema.names], schema=batch.schema)
-
-    return out.mapInArrow(step, out.schema)
+            for rows in _slices(batch, text_col):
+                langs, scores, rates = parser.predict([t or "" for t in rows.column(text_col).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], pa.array(langs, pa.string()), pa.array(scores), pa.array(rates)], names=[*names, "lang_pred", "score", "phrase_rate"])
+
+    return docs.mapInArrow(step, schema)
+
+
+def _slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``PIECE`` bytes of text, or one text."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PIECE, "right")))
+        yield batch.slice(i, j - i)
+        i = j
 
 
 def keep_known(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text", max_rate: float = 0.5, least_chars: int = 20) -> DataFrame:
     """The rows of ``docs`` in a learned language. Rejected are texts that are ``und``, and those of at least ``least_chars`` characters with
     more than ``max_rate`` phrases a character: random letters take over 0.6, any learned language less than 0.4."""
     names = docs.columns
-    rows = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text_col}`").alias("text")), texts)
+    rows = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(f"`{text_col}`").alias("text")), texts)
     known = (F.col("lang_pred") != "und") & ((F.col("phrase_rate") <= max_rate) | (F.length("text") < least_chars))
-    return rows.where(known).select(*[F.col("row")[c].alias(c) for c in names])
+    return rows.where(known).select(*[(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in names])

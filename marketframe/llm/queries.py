@@ -21,6 +21,9 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from marketframe.llm.components import small_batches
+
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,7 +40,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     texts = sample(docs.where(~held_out() & docs.doc_id.isNotNull()))
-    return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), texts).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), texts, drop_text=True).select("doc_id", "held_out", "lang_pred", "score")
 
 
 @query("op9_pii")
