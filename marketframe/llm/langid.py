@@ -165,6 +165,14 @@ def _without(p: list[int], c: int) -> Iterator[list[int]]:
         yield run
 
 
+def _parser(key: str, bc) -> Parser:
+    """A worker's tables; kept for its next tasks."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Parser(bc.value)
+    return _built[key]
+
+
 def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1: how much the second language's parse costs more) and phrase_rate
     (phrases a character, 1 for ``und``); without the texts, if they are to be dropped."""
@@ -176,10 +184,7 @@ def predict(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "te
     names = [f.name for f in kept]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _built:
-            _built.clear()
-            _built[key] = Parser(bc.value)
-        parser = _built[key]
+        parser = _parser(key, bc)
         for batch in batches:
             for rows in _slices(batch, text_col):
                 langs, scores, rates = parser.predict([t or "" for t in rows.column(text_col).to_pylist()])
