@@ -202,7 +202,8 @@ def _again(t: pa.Table, num: int, den: int) -> np.ndarray:
     count = np.diff(np.append(np.flatnonzero(first), len(token)))
     out = np.repeat(count > SMALL, count)
     for d in range(1, min(SMALL, len(token))):
-        i = np.flatnonzero((token[:-d] == token[d:]) & ~first[:-d] & ~out[:-d])
+        # a pair may be left out only if both ends are marked: a marked row still has to mark its partners
+        i = np.flatnonzero((token[:-d] == token[d:]) & ~first[:-d] & ~(out[:-d] & out[d:]))
         i = i[may_link(size[i], pos[i], hist[i], size[i + d], pos[i + d], hist[i + d], num, den)]
         out[i] = out[i + d] = True
     return out

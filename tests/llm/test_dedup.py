@@ -3,10 +3,12 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketframe.llm.components import components
-from marketframe.llm.jaccard import jaccard_groups, keep_one
+from marketframe.llm.jaccard import _again, jaccard_groups, keep_one, may_link
 from marketframe.llm.lines import line_dedup
 from marketframe.llm.substrings import substring_dedup
 from tests.llm.data import WORD, documents, folded, frame
@@ -93,6 +95,35 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert keep_one(frame(spark, [])).count() == 0 and jaccard_groups(frame(spark, [])).count() == 0
 
 
+def test_a_marked_post_still_marks_its_partners():
+    """A small group of one n-gram: lead, a, b, c. The pair a, b passes the filters, and so does a, c, but not b, c."""
+    sizes = [95, 100, 96, 108]
+    hists = [np.array(h, np.uint8) for h in ([19, 38, 38, 0, 0, 0, 0, 0], [24, 38, 38, 0, 0, 0, 0, 0], [19, 38, 38, 1, 0, 0, 0, 0], [24, 38, 38, 0, 8, 0, 0, 0])]
+    hist = [int.from_bytes(h.tobytes(), "little", signed=True) for h in hists]
+    t = pa.table({"token": pa.array([7] * 4, pa.int64()), "size": pa.array(sizes, pa.int32()), "pos": pa.array([0] * 4, pa.int32()), "hist": pa.array(hist, pa.int64())})
+    links = lambda i, j: bool(may_link(*(np.array([x]) for k in (i, j) for x in (sizes[k], 0, hist[k])), 90, 100)[0])
+    assert links(1, 2) and not links(2, 3) and links(1, 3) and not links(0, 3)
+    assert _again(t, 90, 100).tolist() == [False, True, True, True]
+
+
+def four_texts():
+    """Lead, a, b and c as sets of single words, in order of size: 20 rare ones that all four have, the rest frequent. c is like a only."""
+    rare, often, new, more = [f"r{i}" for i in range(20)], [f"f{i}" for i in range(80)], [f"b{i}" for i in range(4)], [f"c{i}" for i in range(11)]
+    texts = [rare + often[5:], rare + often, rare + often[:70] + often[73:] + new, rare + often + more]
+    # the others make all but ``rare`` frequent; none is like another, nor like the four
+    others = [[*often, *new, *more, *(f"own{k}x{i}" for i in range(60))] for k in range(30)]
+    return [(i, " ".join(t), "a") for i, t in enumerate(texts)] + [(100 + k, " ".join(t), "a") for k, t in enumerate(others)]
+
+
+def test_links_in_a_small_group_that_the_lead_has_no_part_in(spark):
+    rows = four_texts()
+    s, group = groups(rows, 1, 90, 100)
+    assert 100 * len(s[1] & s[3]) >= 90 * len(s[1] | s[3]) and all(100 * len(s[x] & s[3]) < 90 * len(s[x] | s[3]) for x in (0, 2))
+    got = {r.doc_id: r.component_id for r in jaccard_groups(frame(spark, rows), n=1, threshold=(90, 100)).collect()}
+    assert got == {r[0]: min(q[0] for q, h in zip(rows, group, strict=True) if h == g) for r, g in zip(rows, group, strict=True)}
+    assert [got[i] for i in range(4)] == [0, 0, 0, 0]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("500", str(600 + i)) for i in range(50)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "x string, y string")).collect()}
