@@ -6,20 +6,20 @@ its text) / characters``, wins (ties go to the smaller label).
 
 The automata are fitted on a bounded sample: at most ``sample_docs`` labelled documents a language (of each class of text
 hashes modulo that number the smallest, equal texts once), ``sample_chars`` characters of each. Every text is then parsed whole, in blocks of ``BLOCK``
-characters over whose ends no phrase runs, all blocks of a batch in step: the automaton's missing moves are filled in
-as "a new phrase begins", so a character of a text costs one table look-up for each language.
+characters over whose ends no phrase runs, all blocks of a batch in step: where an automaton has no move, a new phrase begins. Its moves are kept
+in a displacement table (the rows of all states laid over each other, each move with its owner), whose size follows the number of moves
+and not the alphabet's, so the alphabet is all letters of the sample, in whatever scripts.
 
 Defined cases: a null or empty text, or one without a letter, is ``und`` with score 0. Rows with a null label,
 text or (for ``held_out``) id are not learned from. Without any labelled text all texts are ``und``. Repeated
-rows are predicted alike. Case, digits, punctuation and runs of them don't count. Characters outside the learned alphabet are phrases of
-their own. Extra columns are kept by ``predict``; ``lang_pred`` and ``score`` are replaced.
+rows are predicted alike. Case, digits, punctuation and runs of them don't count. Letters that a language's sample doesn't hold are phrases of
+their own in it. Extra columns are kept by ``predict``; ``lang_pred`` and ``score`` are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,8 +34,8 @@ from marketframe.llm.automaton import SuffixAutomaton
 
 BLOCK = 1024
 PIECE = 2_000_000
-ALPHABET = 64
 OTHER, GAP = 0, 1
+MARGIN = 1.25
 _built: dict = {}
 
 
@@ -59,13 +59,12 @@ def sample(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", s
 def _classes(alphabet: str) -> tuple[np.ndarray, np.ndarray]:
     """Of each code point: its symbol, and whether it is a letter."""
     place = {c: i for i, c in enumerate(alphabet, GAP + 1)}
-    symbol, letter = np.full(0x110000, GAP, np.uint8), np.zeros(0x110000, bool)
+    symbol, letter = np.full(0x110000, GAP, np.int32), np.zeros(0x110000, bool)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
             letter[cp] = True
-            low = c.lower()
-            symbol[cp] = place.get(low if len(low) == 1 else low[0], OTHER)
+            symbol[cp] = place.get(c.lower()[0], OTHER)
     return symbol, letter
 
 
@@ -85,34 +84,58 @@ def _symbols(texts: list[str], alphabet: str) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Parser:
-    """The filled-in automata of all languages, as tables."""
+    """The automata of all languages, as tables."""
 
     def __init__(self, texts: dict[str, list[str]]):
-        # lower-case letters by frequency over all languages, ties by code point
-        count = Counter(c for t in texts.values() for x in t for c in x.lower() if c.isalpha())
-        self.alphabet = "".join(sorted(sorted(count), key=lambda c: -count[c])[: ALPHABET - GAP - 1])
+        self.alphabet = "".join(sorted({c.lower()[0] for t in texts.values() for x in t for c in x if c.isalpha()}))
         self.langs, self.tables, self.bits = [], [], []
         for lang, samples in texts.items():
             s, n, _ = _symbols(samples, self.alphabet)
-            cut = np.cumsum(n)[:-1]
-            parts = [x.tolist() for x in np.split(s, cut)]
-            # no phrase holds an unknown letter
-            runs = [r for p in parts for r in _without(p, OTHER)]
-            if runs:
+            if len(s):
                 self.langs.append(lang)
-                self.tables.append(self._table(SuffixAutomaton(runs)))
-                self.bits.append(math.log2(1 + sum(map(len, runs))))
+                self.tables.append(self._table(SuffixAutomaton(x.tolist() for x in np.split(s, np.cumsum(n)[:-1]))))
+                self.bits.append(math.log2(1 + len(s)))
+
+    def _table(self, sam: SuffixAutomaton) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The root's moves by symbol (0: none); of each other state its base; of each place the state whose move stands there, and the next
+        state. State s moves by c if place ``base[s] + c`` (modulo the number of places) is its own."""
+        width = len(self.alphabet) + GAP + 1
+        root = np.zeros(width, np.int32)
+        for c, t in sam.go[0].items():
+            root[c] = t
+        moves = sum(map(len, sam.go[1:]))
+        many = sorted((s for s in range(1, len(sam)) if len(sam.go[s]) > 1), key=lambda s: -len(sam.go[s]))
+        one = [s for s in range(1, len(sam)) if len(sam.go[s]) == 1]
+        places = 1 << max(2 * moves, width).bit_length()
+        while (found := self._bases(sam, many, places)) is None:
+            places *= 2
+        base, used = np.zeros(len(sam), np.int32), np.frombuffer(found[1], np.uint8)
+        base[many] = found[0]
+        sym = np.fromiter((c for s in one for c in sam.go[s]), np.int64, len(one))
+        base[one] = (np.flatnonzero(used == 0)[: len(one)] - sym) & (places - 1)
+        state = np.repeat(np.arange(1, len(sam)), [len(g) for g in sam.go[1:]])
+        at = (base[state] + np.fromiter((c for g in sam.go[1:] for c in g), np.int64, moves)) & (places - 1)
+        owner, to = np.full(places, -1, np.int32), np.zeros(places, np.int32)
+        owner[at] = state
+        to[at] = np.fromiter((t for g in sam.go[1:] for t in g.values()), np.int64, moves)
+        return root, base, owner, to
 
     @staticmethod
-    def _table(sam: SuffixAutomaton) -> np.ndarray:
-        """By state and symbol: 2 * next state's row + 1 if a new phrase begins."""
-        root = np.ones(ALPHABET, np.int64)
-        for c, t in sam.go[0].items():
-            root[c] = t * ALPHABET * 2 + 1
-        out = np.tile(root, len(sam))
-        at = np.fromiter((s * ALPHABET + c for s, g in enumerate(sam.go) if s for c in g), np.int64)
-        out[at] = np.fromiter((t * ALPHABET * 2 for s, g in enumerate(sam.go) if s for t in g.values()), np.int64, len(at))
-        return out.astype(np.int32 if len(out) * 2 < 2**31 else np.int64)
+    def _bases(sam: SuffixAutomaton, states: list[int], places: int) -> tuple[list[int], bytearray] | None:
+        """Bases at which no two moves of the states meet, and the places used; none if there aren't any."""
+        used, out, base, mask = bytearray(places), [], 0, places - 1
+        for s in states:
+            row = list(sam.go[s])
+            for _ in range(places):
+                base = (base + 0x9E3779B1) & mask  # odd: every base is tried
+                if not any(used[(base + c) & mask] for c in row):
+                    break
+            else:
+                return None
+            for c in row:
+                used[(base + c) & mask] = 1
+            out.append(base)
+        return out, used
 
     def phrases(self, s: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Number of phrases of each text (rows) in each language (columns)."""
@@ -127,13 +150,17 @@ class Parser:
         order = np.argsort(-size, kind="stable")
         start, size, owner = start[order], size[order], owner[order]
         active = np.searchsorted(-size, -np.arange(size[0]), "left")  # blocks longer than j
-        for k, table in enumerate(self.tables):
-            row, count = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
-            for j, m in enumerate(active.tolist()):
-                v = table[row[:m] + s[start[:m] + j]]
-                count[:m] += v & 1
-                row[:m] = v >> 1
-            out[:, k] = np.bincount(owner, count, len(n))
+        state, count = np.zeros((2, len(self.langs), len(start)), np.int32)
+        for j, m in enumerate(active.tolist()):
+            c = s.take(start[:m] + j)
+            for k, (root, base, own, to) in enumerate(self.tables):
+                at = state[k, :m]
+                place = (base.take(at) + c) & (len(own) - 1)
+                new = own.take(place) != at
+                count[k, :m] += new
+                state[k, :m] = np.where(new, root.take(c), to.take(place))
+        for k in range(len(self.langs)):
+            out[:, k] = np.bincount(owner, count[k], len(n))
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -152,17 +179,10 @@ class Parser:
         return [self.langs[b] if ok else "und" for b, ok in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, score, 0.0), np.where(known, rate, 1.0)
 
 
-def _without(p: list[int], c: int) -> Iterator[list[int]]:
-    run: list[int] = []
-    for x in p:
-        if x == c:
-            if run:
-                yield run
-            run = []
-        else:
-            run.append(x)
-    if run:
-        yield run
+def own_rate(samples: list[str]) -> float:
+    """Phrases a character of the second half of a language's sample, parsed by the first."""
+    text = "\n".join(samples)
+    return float(Parser({"": [text[: len(text) // 2]]}).predict([text[len(text) // 2 :]])[2][0])
 
 
 def _parser(key: str, bc) -> Parser:
@@ -205,8 +225,13 @@ def _slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
 
 def keep_known(docs: DataFrame, texts: dict[str, list[str]], *, text_col: str = "text", max_rate: float = 0.5, least_chars: int = 20) -> DataFrame:
     """The rows of ``docs`` in a learned language. Rejected are texts that are ``und``, and those of at least ``least_chars`` characters with
-    more than ``max_rate`` phrases a character: random letters take over 0.6, any learned language less than 0.4."""
+    more than ``max_rate`` phrases a character: random letters take over 0.6, a language of few letters less than 0.4. In one of many letters
+    phrases are shorter; there, the limit is ``MARGIN`` times the language's own rate."""
     names = docs.columns
+    limit = F.lit(max_rate)
+    for lang, samples in texts.items():
+        if (own := MARGIN * own_rate(samples)) > max_rate:
+            limit = F.when(F.col("lang_pred") == lang, own).otherwise(limit)
     rows = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(f"`{text_col}`").alias("text")), texts)
-    known = (F.col("lang_pred") != "und") & ((F.col("phrase_rate") <= max_rate) | (F.length("text") < least_chars))
+    known = (F.col("lang_pred") != "und") & ((F.col("phrase_rate") <= limit) | (F.length("text") < least_chars))
     return rows.where(known).select(*[(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in names])

@@ -308,6 +308,24 @@ def test_phrases_by_a_plain_parse():
         assert parser.phrases(s, count)[0].tolist() == want
 
 
+def scripts():
+    """Labelled texts and new ones of two languages with 800 letters each, beside one of Latin letters."""
+    r = random.Random(11)
+    words = {"zh": ["".join(chr(0x4E00 + r.randrange(800)) for _ in range(2)) for _ in range(1500)], "ko": ["".join(chr(0xAC00 + r.randrange(800)) for _ in range(2)) for _ in range(1500)], "en": prose(3, 900).split()}
+    make = lambda lang, n: ("" if lang == "zh" else " ").join(r.choice(words[lang]) for _ in range(n))
+    return {lang: [make(lang, 150) for _ in range(12)] for lang in words}, [(lang, make(lang, 60)) for lang in words for _ in range(8)]
+
+
+def test_languages_of_many_letters(spark):
+    texts, new = scripts()
+    parser = langid.Parser(texts)
+    assert len(parser.alphabet) > 1400
+    got, score, _ = parser.predict([t for _, t in new])
+    assert got == [lang for lang, _ in new] and score.min() > 0.05
+    rows = [(i, t, "a") for i, (_, t) in enumerate(new)] + [(99, "".join(random.Random(3).choice("бвгджзклмн") for _ in range(90)), "a")]
+    assert {r.doc_id for r in langid.keep_known(frame(spark, rows), texts).collect()} >= set(range(len(new)))
+
+
 def test_sample_is_bounded_and_leaves_out_held_out(spark):
     rows = [(i, f"text {i} " + "ab" * (i % 5), "a") for i in range(500)]
     docs = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.lit("x")))
