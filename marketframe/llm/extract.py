@@ -4,11 +4,13 @@ A page's tokens become text blocks, each with its root-to-leaf tag path. Text le
 link text are aggregated per path; the two ratios (characters and punctuation marks a block) are smoothed over
 neighbouring paths of the page and fused into one score. From the root, the element that holds at least ``HOLDS`` of the score below it is entered
 until none does or it is an article: that is the content node; headings of the elements around it belong to it. Of its blocks, those stay whose path scores over ``THRESHOLD`` of the best
-path or that are not mainly links; a path of links only is a menu.
+path or that are not mainly links; a path of links only is a menu, unless it is a heading or in an article element.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are never content,
 whatever they score: they are told by their elements, roles, or words of class and id (lists below). Headings in
-an article's own header stay.
+an article's own header stay. A cue word that is only a part of a name (``social-science``) doesn't decide alone: the element stays if it holds over half of the
+text outside links of the article or main element around it, or, where there is none, of the page, and all of its articles. A name that says what
+a page has (``has-sidebar``, ``no-ads``) is no cue.
 
 White space in a block is one space (character references are decoded first, so a non-breaking space is white space),
 blocks are joined by an empty line, in page order; ``br`` is white space. Pages are independent, so a page is the unit of work; nothing is shuffled and texts
@@ -53,6 +55,10 @@ CUES = re.compile(
 )
 OUTER_CUES = re.compile("header|topbar")
 
+# parts of names that tell what an element has, not what it is; readers' words stay out however long they are
+STATES = frozenset("has have no not with without enabled disabled open closed".split())
+READERS = re.compile(r"\w*comments?\w*|reply|replies|disqus\w*|respond")
+
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -66,12 +72,13 @@ class Block:
     links: int  # characters of links
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element never holds article text; ``inside``: of an article or main element."""
+def _unwanted(tag: str, attributes: str, inside: bool) -> bool | None:
+    """Whether an element never holds article text, None if that depends on how much it holds; ``inside``: of an article or main element."""
     if tag in NEVER or tag == "header" and not inside:
         return True
     if not attributes.strip():
         return False
+    out: bool | None = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
@@ -79,15 +86,35 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         if name == "role" and value.lower() in ROLES:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = {w.lower() for w in _WORD.findall(value)} | {w.lower() for w in value.split()}
-            if any(CUES.fullmatch(w) or not inside and OUTER_CUES.fullmatch(w) for w in words):
-                return True
-    return False
+            cue = lambda w: CUES.fullmatch(w) or not inside and OUTER_CUES.fullmatch(w)
+            for whole in value.split():
+                parts = [w.lower() for w in _WORD.findall(whole)]
+                if cue(whole.lower()):
+                    return True
+                if STATES.isdisjoint(parts) and any(map(cue, parts)):
+                    if any(map(READERS.fullmatch, parts)):
+                        return True
+                    out = None
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks outside unwanted elements, in page order."""
+    held: dict[int, list[int]] = {}
+    out = _blocks(page, None, held)
+    if max(held) < 0:  # no element is in doubt
+        return out
+    total, articles = held[-1][:2]
+    return _blocks(page, {k for k, (n, a, scope) in held.items() if k >= 0 and 2 * n > (held[scope][0] if scope != -1 else total) and (scope != -1 or a == articles)}, held)
+
+
+def _blocks(page: str, kept: set[int] | None, held: dict[int, list[int]]) -> list[Block]:
+    """The text blocks. Elements in doubt stay if their place is in ``kept``; without it, all do, and ``held`` gets, of each of them, of each article and main
+    element (place -2 - its own) and of the page (-1), the characters outside links and the articles in it, and the place of what is around it."""
     stack: list[tuple[str, bool]] = []  # element and whether it is unwanted
+    count: list[int] = []  # for each element of the stack the place that it has in ``held``, or 0
+    if kept is None:
+        held[-1] = [0, 0, -1]
     out: list[Block] = []
     parts: list[str] = []
     state: dict = {"links": 0, "path": None}
@@ -110,12 +137,15 @@ def blocks(page: str) -> list[Block]:
                 state["path"] = tuple(t for t, _ in stack if t in BLOCK)
             if any(t == "a" for t, _ in stack):
                 state["links"] += len(text.strip())
+            elif kept is None:
+                for k in {-1, *count} - {0}:
+                    held[k][0] += len(text.strip())
         parts.append(text)
 
     def close(k: int) -> None:
         if any(t in BLOCK for t, _ in stack[k:]):
             flush()
-        del stack[k:]
+        del stack[k:], count[k:]
 
     at = 0
     while True:
@@ -145,6 +175,7 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page) if tag in ("script", "style", "title", "textarea") else at
             if end is None and tag not in ("script", "style", "title", "textarea"):
                 stack.append((tag, True))
+                count.append(0)
             continue
         if tag in BLOCK:
             flush()
@@ -163,7 +194,22 @@ def blocks(page: str) -> list[Block]:
         if tag in ("td", "th"):
             put(" ")
         outer = bool(stack) and stack[-1][1]
-        stack.append((tag, outer or _unwanted(tag, attributes, any(t in ("article", "main") for t, _ in stack))))
+        unwanted = outer or _unwanted(tag, attributes, any(t in ("article", "main") for t, _ in stack))
+        place = 0
+        if kept is not None:
+            unwanted = m.start() + 1 not in kept if unwanted is None else unwanted
+        elif not unwanted and (unwanted is None or tag in ("article", "main")):
+            if unwanted is None:
+                place = m.start() + 1
+                held[place] = [0, 0, next((k for k in reversed(count) if k < -1), -1)]
+            else:
+                for k in {-1, *count} - {0}:
+                    held[k][1] += 1
+                place = -2 - m.start()
+                held[place] = [0, 0, -1]
+            unwanted = False
+        stack.append((tag, unwanted))
+        count.append(place)
     flush()
     return out
 
@@ -211,7 +257,7 @@ def main_text(page: str | None) -> str:
     def content(p: tuple[str, ...]) -> bool:
         links = size[p][0] / size[p][1]
         inside = p[: len(root)] == root or p[-1:] and p[-1] in HEADING and p[:-1] == root[: len(p) - 1]  # a heading of an element around it
-        return bool(inside) and (links < 0.5 or links < 0.9 and score[p] >= least)
+        return bool(inside) and (links < 0.5 or links < 0.9 and score[p] >= least or "article" in p or p[-1:] != () and p[-1] in HEADING)
 
     keep = {p for p in score if content(p)}
     return "\n\n".join(b.text for b in found if b.path in keep)

@@ -355,6 +355,22 @@ def test_extraction():
     assert extract.main_text("plain &eacute; text") == "plain é text"
 
 
+def test_cue_words_in_a_name_do_not_lose_the_article():
+    text = "<p>" + "Long words, and so on. " * 9 + "</p><p>Be.</p>"
+    want = "T\n\n" + ("Long words, and so on. " * 9).strip() + "\n\nBe."
+    for name in ("content has-sidebar", "layout no-ads", "post related-enabled", "social-science", "post comments-open"):
+        for page in ("<div class='{}'><article><h1>T</h1>{}</article></div>", "<article><div id='{}'><h1>T</h1>{}</div></article>", "<body><p>x</p><div class='{}'><article><h1>T</h1>{}</article></div>", "<div class='{}'><div><h1>T</h1>{}</div></div>"):
+            assert extract.main_text(page.format(name, text)) == want, (name, page)
+        assert extract.main_text(f"<div class='{name}'><article><h1>T</h1>{text}<div class='related-posts'><p>No.</p></div></article></div>") == want, name
+    for cue in ("comment-list", "sidebar", "user-comments"):  # however long
+        assert extract.main_text(f"<div class='{cue}'>{text * 9}</div><div><h1>T</h1>{text}</div>") == want, cue
+
+
+def test_links_in_an_article_stay():
+    assert extract.main_text("<article><h1><a href=x>Title</a></h1><p>One, two.</p><ul><li><a href=1>A</a><li><a href=2>B</a></ul></article>") == "Title\n\nOne, two.\n\nA\n\nB"
+    assert extract.main_text("<div><h1><a href=x>Title</a></h1><p>" + "One, two. " * 20 + "</p></div>") == "Title\n\n" + ("One, two. " * 20).strip()
+
+
 def test_extraction_of_a_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "<article>" + "<p>A b.</p>" * 30_000 + "</article>")]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string").withColumn("main_text", F.lit("own")).withColumn("text", F.lit("own"))
