@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a permutation index.
 
 A vector is represented by its nearest ``prefix`` of ``pivots`` pivots, in order. In blocks of about ``block_rows`` vectors (dealt by hash) each pivot
-has an inverted file of the block's vectors that have it in their order, with its place. A query walks the files of its own pivots; from the places it
+has an inverted file: a dense row of its place in the order of every vector of the block, ``prefix`` where it is absent. A query reads the rows of its own pivots; from the places it
 gets every vector's footrule distance, as shared pivots' displacements (a pivot that one side lacks counts as displaced to the end of the order). The ``rerank`` distinct vectors
 of a block that are nearest by footrule, with all ties and all that are close to the query's own order, are ranked by the exact inner product, and the blocks' best ``k`` are merged.
 
