@@ -166,3 +166,64 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketframe.llm.substrings import substring_dedup
 
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE
+k AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crc),
+f AS (
+  SELECT doc_id, lang, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text], lambda v: coalesce(octet_length(encode(v)) || ':' || v, '-')) AS v,
+         coalesce(octet_length(encode(text)) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS folded,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+             lambda c, d: xor(c // 256, crc[CAST(xor(c % 256, d) AS INT) + 1]), 4294967295), 4294967295) % 3 = 0 AS changed
+  FROM documents CROSS JOIN k),
+d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256(array_to_string(v, '')) AS leaf,
+         sha256(array_to_string(CASE WHEN changed THEN list_append(v[:4], folded) ELSE v END, '')) AS held
+  FROM f),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, held) - 1 AS pos FROM d),
+sub AS (
+  SELECT 0 AS level, tree, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM l
+  UNION ALL
+  SELECT level + 1, tree, pos, sha256(run), CAST((n + 7) // 8 AS BIGINT)
+  FROM (SELECT level, tree, pos // 8 AS pos, string_agg(node, '' ORDER BY pos) AS run, max(n) AS n FROM sub WHERE n > 1 GROUP BY level, tree, sub.pos // 8)),
+ends AS (SELECT tree, level AS h, node, row_number() OVER (ORDER BY tree) - 1 AS pos FROM sub WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, node, count(*) OVER () AS n FROM ends
+  UNION ALL
+  SELECT level + 1, pos, sha256(run), CAST((n + 7) // 8 AS BIGINT)
+  FROM (SELECT level, pos // 8 AS pos, string_agg(node, '' ORDER BY pos) AS run, max(n) AS n FROM top WHERE n > 1 GROUP BY level, top.pos // 8)),
+runs AS (
+  SELECT tree, level, pos // 8 AS run, list(node ORDER BY pos) AS nodes FROM sub WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT '*', level, pos // 8, list(node ORDER BY pos) FROM top WHERE n > 1 GROUP BY ALL),
+walk AS (
+  SELECT doc_id, l.tree, leaf, held, l.pos, 0 AS level, l.pos AS place, l.tree AS within, ends.h, ends.pos AS top_at, ends.node AS subroot, held AS node, '' AS proof
+  FROM l JOIN ends USING (tree)
+  UNION ALL
+  SELECT doc_id, w.tree, leaf, held, pos, CASE WHEN stop THEN 0 ELSE w.level + 1 END, CASE WHEN stop THEN top_at ELSE place // 8 END,
+         CASE WHEN stop THEN '*' ELSE within END, h, top_at, subroot,
+         CASE WHEN stop THEN node ELSE sha256(array_to_string(nodes[:place % 8], '') || node || array_to_string(nodes[place % 8 + 2:], '')) END,
+         CASE WHEN stop THEN proof ELSE proof || array_to_string(nodes[:place % 8], '') || array_to_string(nodes[place % 8 + 2:], '') END
+  FROM (SELECT *, within <> '*' AND level = h AS stop FROM walk) w LEFT JOIN runs r ON NOT stop AND r.tree = within AND r.level = w.level AND r.run = place // 8
+  WHERE stop OR nodes IS NOT NULL),
+last AS (SELECT * FROM walk WHERE within = '*' AND level = (SELECT max(level) FROM top))
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM last CROSS JOIN (SELECT node AS root FROM top WHERE n = 1)
+"""
+
+
+@query("op12_merkle_manifest", MANIFEST_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm import manifest
+
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lower).otherwise(F.col("text"))
+    held = manifest.leaf_digest([text if c == "text" else F.col(c) for c in manifest.FIELDS])
+    made = manifest.build(docs, carry={"held": held})
+    root, fold = F.lit(made.root), manifest.folded(F.col("held"), F.col("proof"))
+    out = manifest.proofs(made).select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"), F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"), fold.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
