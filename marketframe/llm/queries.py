@@ -227,3 +227,16 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, fold = F.lit(made.root), manifest.folded(F.col("held"), F.col("proof"))
     out = manifest.proofs(made).select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"), F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"), fold.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_quality_classifier")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketframe.llm import quality
+
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = quality.fit(quality.labelled(docs.select("doc_id", "text"), labels.where(~held_out)))
+    out = quality.classify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
