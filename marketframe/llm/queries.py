@@ -240,3 +240,30 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(quality.labelled(docs.select("doc_id", "text"), labels.where(~held_out)))
     out = quality.classify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d WHERE len(w) > 0),
+i AS (
+  SELECT item_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark),
+q AS (SELECT item_id, k, t, count(*) AS c FROM (SELECT item_id, k, unnest(w) AS t FROM i) GROUP BY ALL),
+p AS (SELECT r, doc_id, n, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d) GROUP BY ALL),
+f AS (SELECT t, CAST(count(*) AS BIGINT) AS df FROM p GROUP BY t),
+x AS (
+  SELECT t, r, doc_id, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_words))) AS gain
+  FROM p JOIN f USING (t) CROSS JOIN s),
+z AS (SELECT item_id, k, doc_id, r, CAST(sum(c * gain) AS BIGINT) AS score FROM q JOIN x USING (t) GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM z WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
+@query("op11_ranked_search", SEARCH_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketframe.llm.search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
