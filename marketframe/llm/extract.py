@@ -1,20 +1,21 @@
 """Main text of HTML pages by tag-path ratios.
 
-A page's tokens become text blocks, each with its root-to-leaf tag path. Text length, punctuation and the share of
-link text are aggregated per path; the two ratios (characters and punctuation marks a block) are smoothed over
-neighbouring paths of the page and fused into one score. From the root, the element that holds at least ``HOLDS`` of the score below it is entered
-until none does or it is an article: that is the content node; headings of the elements around it belong to it. Of its blocks, those stay whose path scores over ``THRESHOLD`` of the best
-path or that are not mainly links; a path of links only is a menu, unless it is a heading or in an article element.
-
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are never content,
-whatever they score: they are told by their elements, roles, or words of class and id (lists below). Headings in
-an article's own header stay. A cue word that is only a part of a name (``social-science``) doesn't decide alone: the element stays if it holds over half of the
-text outside links of the article or main element around it, or, where there is none, of the page, and all of its articles. A name that says what
-a page has (``has-sidebar``, ``no-ads``) is no cue.
+A page's tokens become text blocks, each with its root-to-leaf tag path. Text length outside links and punctuation are aggregated per path; the two
+ratios (characters and punctuation marks a block) are smoothed, as logarithms, over neighbouring paths of one parent and fused into one score. A score is lowered by what the elements
+around say: that they are menus, headers, footers, sidebars, notices, adverts, forms or reader comments (``CUED``; by element, role, or words of class and
+id, lists below), or that they are outside the articles that hold most of the text (``OUTSIDE``). Paths over ``THRESHOLD`` of the best path are content, unless they are mainly
+links outside an article. Scripts, styles and markup are no text.
+
+What an element is called doesn't decide where it holds most of the text of the page's articles (of the page, where there are none): a form or a ``social`` element around the
+whole page is no cue, nor is a part of a name (``social-science``) where the element holds most of the article that it is in. Reader comments are the exception: they
+stay out however long they are. A name that says what a page has (``has-sidebar``, ``no-ads``) is no cue.
+
+Short blocks share the fate of their place, not of their path: all of an article with content stays; elsewhere headings before
+content, what stands between content, and what follows content in its element (or precedes it, if it is a sentence), unless it is mainly links.
 
 White space in a block is one space (character references are decoded first, so a non-breaking space is white space),
 blocks are joined by an empty line, in page order; ``br`` is white space. Pages are independent, so a page is the unit of work; nothing is shuffled and texts
-are not cut. Tokenising and the stack are linear in the page.
+are not cut. All steps take time in proportion to the page, however deep or unclosed its elements.
 
 Defined cases: null or empty html, and a page without content, give an empty text. Unclosed and wrongly nested elements end
 where HTML ends them in the common cases (a block ends an open paragraph, an item its predecessor, an end tag what it holds).
@@ -24,17 +25,19 @@ Repeated pages give equal texts. Extra columns are kept by ``extract``; ``main_t
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD = 0.1
-HOLDS = 0.6
-CONTAINERS = ("html", "body", "main", "article", "section", "div", "center", "table", "tbody", "tr", "td")
+THRESHOLD = 0.15
+CUED = 1e-6
+OUTSIDE = 0.3
+CONTAINERS = frozenset("html body main article section div center td blockquote form fieldset aside header".split())
 
 # fixed values: HTML's element kinds
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,16 +48,21 @@ BLOCK = frozenset(
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ITEM_ENDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 # fixed values: what is not an article's text
-NEVER = frozenset("head nav footer aside form button dialog menu audio video canvas object label fieldset input".split())
+NEVER = frozenset("head nav footer button dialog menu audio video canvas object input".split())
+FORMS = frozenset("form fieldset label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CUES = re.compile(
     r"(?:user|reader|post|site|page|top|bottom|left|right|inline)?(?:ads?|adv|advert\w*|ad(?:slot|unit|box|banner|block|container|wrapper|sense)|sponsor\w*|promo(?:s|tion|tions|ted)?|banner\w*|cookie\w*|consent|gdpr|"
     r"notices?|notifications?|alerts?|popup\w*|modal\w*|overlay|paywall|sidebar\w*|aside|menus?|menubar|nav|navbar|navmenu|navigation|breadcrumbs?|footer\w*|masthead|"
-    r"comments?(?:list|section|area|body|text|form|box|thread|block|wrapper)?|reply|replies|disqus\w*|respond|share|shares|sharing|share(?:bar|box|buttons)|social\w*|related\w*|recommend\w*|"
+    r"comments?(?:list|section|area|body|text|form|box|thread|block|wrapper)?|reply|replies|disqus\w*|respond|share|shares|sharing|share(?:bar|box|buttons)|social\w*|related\w*|recommended\w*|recommendations\w*|"
     r"newsletter\w*|subscri\w*|signup|login|signin|search(?:bar|box|form)?|widgets?|toolbar|pagination|pager|skip(?:link)?)"
 )
 OUTER_CUES = re.compile("header|topbar")
 
+# what an element is, even if it is longer than the article
+STRONG = re.compile(r"sidebar\w*|aside|menus?|menubar|nav|navbar|navmenu|navigation|breadcrumbs?|footer\w*|cookie\w*|consent|gdpr|pagination|pager|header|topbar")
+NOTICE = re.compile(r"(?:©|\(c\)\s|copyright\s+(?:©|\(c\)|[0-9]{4}))|.*\ball rights reserved", re.I)
+
 # parts of names that tell what an element has, not what it is; readers' words stay out however long they are
 STATES = frozenset("has have no not with without enabled disabled open closed".split())
 READERS = re.compile(r"\w*comments?\w*|reply|replies|disqus\w*|respond")
@@ -67,200 +75,264 @@ _PUNCTUATION = re.compile(r"[.,;:!?。，！？…¿¡]")
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
-    text: str
-    links: int  # characters of links
+    path: int  # place in ``Page.paths``
+    element: int
+    container: int  # the innermost element that holds blocks side by side
+    heading: bool
+    text: str = ""
+    links: int = 0  # characters of links
+    cued: bool = False
+    article: int = 0  # the innermost article around, 0: none
+    main: bool = False
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool | None:
-    """Whether an element never holds article text, None if that depends on how much it holds; ``inside``: of an article or main element."""
-    if tag in NEVER or tag == "header" and not inside:
-        return True
+@dataclass
+class Page:
+    """Elements by place, in page order (0: the page), and the text blocks."""
+
+    tags: list[str] = field(default_factory=lambda: [""])
+    parent: list[int] = field(default_factory=lambda: [0])
+    cue: list[int] = field(default_factory=lambda: [0])  # 1 by a part of a name or a form, 2 by what it is, 3 whatever it holds
+    own: list[int] = field(default_factory=lambda: [0])  # characters outside links
+    paths: list[tuple[int, str]] = field(default_factory=lambda: [(0, "")])  # (path of the parent, tag)
+    blocks: list[Block] = field(default_factory=list)
+    around: list[int] = field(default_factory=list)  # the container of each element, itself or above
+
+
+def _cue(tag: str, attributes: str, inside: bool) -> int:
+    """What an element's kind and names say of it, see ``Page.cue``; ``inside``: of an article or main element."""
+    if tag in NEVER:
+        return 3
+    out = 2 if tag == "aside" or tag == "header" and not inside else 1 if tag in FORMS else 0
     if not attributes.strip():
-        return False
-    out: bool | None = False
+        return out
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return 3
         if name == "role" and value.lower() in ROLES:
-            return True
+            out = max(out, 2)
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             cue = lambda w: CUES.fullmatch(w) or not inside and OUTER_CUES.fullmatch(w)
             for whole in value.split():
                 parts = [w.lower() for w in _WORD.findall(whole)]
                 if cue(whole.lower()):
-                    return True
-                if STATES.isdisjoint(parts) and any(map(cue, parts)):
+                    if READERS.fullmatch(whole.lower()):
+                        return 3
+                    out = max(out, 2 if STRONG.fullmatch(whole.lower()) else 1)
+                elif STATES.isdisjoint(parts) and any(map(cue, parts)):
                     if any(map(READERS.fullmatch, parts)):
-                        return True
-                    out = None
+                        return 3
+                    out = max(out, 1)
     return out
 
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks outside unwanted elements, in page order."""
-    held: dict[int, list[int]] = {}
-    out = _blocks(page, None, held)
-    if max(held) < 0:  # no element is in doubt
-        return out
-    total, articles = held[-1][:2]
-    return _blocks(page, {k for k, (n, a, scope) in held.items() if k >= 0 and 2 * n > (held[scope][0] if scope != -1 else total) and (scope != -1 or a == articles)}, held)
-
-
-def _blocks(page: str, kept: set[int] | None, held: dict[int, list[int]]) -> list[Block]:
-    """The text blocks. Elements in doubt stay if their place is in ``kept``; without it, all do, and ``held`` gets, of each of them, of each article and main
-    element (place -2 - its own) and of the page (-1), the characters outside links and the articles in it, and the place of what is around it."""
-    stack: list[tuple[str, bool]] = []  # element and whether it is unwanted
-    count: list[int] = []  # for each element of the stack the place that it has in ``held``, or 0
-    if kept is None:
-        held[-1] = [0, 0, -1]
-    out: list[Block] = []
-    parts: list[str] = []
-    state: dict = {"links": 0, "path": None}
-
-    def flush() -> None:
-        text = " ".join("".join(parts).split())
-        if text:
-            out.append(Block(state["path"], text, state["links"]))
-        parts.clear()
-        state.update(links=0, path=None)
-
-    def put(raw: str) -> None:
-        if not raw or stack and stack[-1][1]:
-            return
-        if any(t == "header" for t, _ in stack) and not any(t in HEADING for t, _ in stack):
+class _Parser:
+    """Tokens to elements and blocks. For each tag the places of its open elements are kept, so nothing looks through the stack."""
+
+    def __init__(self) -> None:
+        self.page = Page()
+        self.stack: list[tuple[str, int, int, int]] = []  # tag, element, block path, container
+        self.open: dict[str, list[int]] = {}  # places in the stack
+        self.blocks_open: list[int] = []
+        self.headings = 0
+        self.known: dict[tuple[int, str], int] = {}
+        self.parts: list[str] = []
+        self.block: Block | None = None
+
+    def last(self, tag: str) -> int:
+        at = self.open.get(tag)
+        return at[-1] if at else -1
+
+    def top(self) -> tuple[str, int, int, int]:
+        return self.stack[-1] if self.stack else ("", 0, 0, 0)
+
+    def flush(self) -> None:
+        text = " ".join("".join(self.parts).split())
+        if text and self.block:
+            self.block.text = text
+            self.page.blocks.append(self.block)
+        self.parts.clear()
+        self.block = None
+
+    def put(self, raw: str) -> None:
+        if not raw or self.open.get("header") and not self.headings:
             return
         text = entities.unescape(raw) if "&" in raw else raw
         if not text.isspace():
-            if state["path"] is None:
-                state["path"] = tuple(t for t, _ in stack if t in BLOCK)
-            if any(t == "a" for t, _ in stack):
-                state["links"] += len(text.strip())
-            elif kept is None:
-                for k in {-1, *count} - {0}:
-                    held[k][0] += len(text.strip())
-        parts.append(text)
-
-    def close(k: int) -> None:
-        if any(t in BLOCK for t, _ in stack[k:]):
-            flush()
-        del stack[k:], count[k:]
-
-    at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        put(page[at : m.start()] if m else page[at:])
-        if not m:
-            break
+            _, element, path, container = self.top()
+            if self.block is None:
+                self.block = Block(path, element, container, self.headings > 0)
+            if self.open.get("a"):
+                self.block.links += len(text.strip())
+            else:
+                self.page.own[element] += len(text.strip())
+        self.parts.append(text)
+
+    def push(self, tag: str, cue: int) -> None:
+        _, parent, path, container = self.top()
+        page, element = self.page, len(self.page.tags)
+        page.tags.append(tag)
+        page.parent.append(parent)
+        page.cue.append(cue)
+        page.own.append(0)
+        if tag in BLOCK:
+            if (path, tag) not in self.known:
+                self.known[path, tag] = len(page.paths)
+                page.paths.append((path, tag))
+            path = self.known[path, tag]
+            self.blocks_open.append(len(self.stack))
+        self.headings += tag in HEADING
+        self.open.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, element, path, element if tag in CONTAINERS else container))
+
+    def close(self, k: int) -> None:
+        if self.blocks_open and self.blocks_open[-1] >= k:
+            self.flush()
+        while len(self.stack) > k:
+            tag = self.stack.pop()[0]
+            self.open[tag].pop()
+            self.headings -= tag in HEADING
+        while self.blocks_open and self.blocks_open[-1] >= k:
+            self.blocks_open.pop()
+
+    def end(self, tag: str) -> None:
+        k = self.last(tag)
+        # an inline end tag doesn't reach over a block
+        if k >= 0 and (tag in BLOCK or not self.blocks_open or self.blocks_open[-1] < k):
+            self.close(k)
+
+    def start(self, tag: str, attributes: str) -> None:
+        if tag in BLOCK:
+            self.flush()
+            if (k := self.last("p")) >= 0:
+                self.close(k)
+        if tag in ITEM_ENDS:
+            k = max(map(self.last, {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))))
+            if k > max(map(self.last, ITEM_ENDS[tag])):
+                self.close(k)
+        if tag == "body" and (k := self.last("head")) >= 0:
+            self.close(k)
+        if tag in ("td", "th"):
+            self.put(" ")
+        self.push(tag, _cue(tag, attributes, bool(self.open.get("article") or self.open.get("main"))))
+
+
+def parse(text: str) -> Page:
+    """Elements and blocks of a page, with the blocks' ``cued``, ``article`` and ``main`` set."""
+    parser, at = _Parser(), 0
+    ends = {t: [m.start() for m in re.finditer(rf"</{t}\s*>", text, re.I)] for t in RAW if f"</{t}" in text.lower()} if "</" in text else {}
+    used = dict.fromkeys(RAW, 0)
+    while m := _TOKEN.search(text, at):
+        parser.put(text[at : m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
         if m[1] or m[4]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            # an inline end tag doesn't reach over a block
-            if k is not None and (tag in BLOCK or not any(t in BLOCK for t, _ in stack[k:])):
-                close(k)
-            continue
-        attributes = m[3] or m[6] or ""
-        if tag in VOID:
-            if tag == "br":
-                put(" ")
-            elif tag == "hr":
-                flush()
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page) if tag in ("script", "style", "title", "textarea") else at
-            if end is None and tag not in ("script", "style", "title", "textarea"):
-                stack.append((tag, True))
-                count.append(0)
-            continue
-        if tag in BLOCK:
-            flush()
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if k is not None:
-                close(k)
-        if tag in ITEM_ENDS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ITEM_ENDS[tag]:
-                    break
-                if stack[i][0] == tag or {stack[i][0], tag} in ({"dt", "dd"}, {"td", "th"}):
-                    close(i)
-                    break
-        if tag == "body" and any(t == "head" for t, _ in stack):
-            close(next(i for i, (t, _) in enumerate(stack) if t == "head"))
-        if tag in ("td", "th"):
-            put(" ")
-        outer = bool(stack) and stack[-1][1]
-        unwanted = outer or _unwanted(tag, attributes, any(t in ("article", "main") for t, _ in stack))
-        place = 0
-        if kept is not None:
-            unwanted = m.start() + 1 not in kept if unwanted is None else unwanted
-        elif not unwanted and (unwanted is None or tag in ("article", "main")):
-            if unwanted is None:
-                place = m.start() + 1
-                held[place] = [0, 0, next((k for k in reversed(count) if k < -1), -1)]
+            parser.end(tag)
+        elif tag == "br":
+            parser.put(" ")
+        elif tag == "hr":
+            parser.flush()
+        elif tag in RAW:
+            found = ends.get(tag, ())
+            while used[tag] < len(found) and found[used[tag]] < at:
+                used[tag] += 1
+            if used[tag] < len(found):
+                at = text.index(">", found[used[tag]]) + 1
+            elif tag in ("script", "style", "title", "textarea"):
+                at = len(text)
             else:
-                for k in {-1, *count} - {0}:
-                    held[k][1] += 1
-                place = -2 - m.start()
-                held[place] = [0, 0, -1]
-            unwanted = False
-        stack.append((tag, unwanted))
-        count.append(place)
-    flush()
-    return out
-
-
-def scores(found: list[Block]) -> dict[tuple[str, ...], float]:
-    """Fused and smoothed score of each path, in the order of first appearance."""
-    total: dict[tuple[str, ...], list[int]] = {}
-    for b in found:
-        t = total.setdefault(b.path, [0, 0, 0, 0])
-        for i, x in enumerate((1, len(b.text), len(_PUNCTUATION.findall(b.text)), b.links)):
+                parser.push(tag, 3)
+        elif tag not in VOID:
+            parser.start(tag, m[3] or m[6] or "")
+    parser.put(text[at:])
+    parser.flush()
+    _judge(parser.page)
+    return parser.page
+
+
+def _judge(page: Page) -> None:
+    n = len(page.tags)
+    hard, article, main = [False] * n, [0] * n, [False] * n
+    page.around = [0] * n
+    for e in range(1, n):
+        up = page.parent[e]
+        page.around[e] = e if page.tags[e] in CONTAINERS else page.around[up]
+        hard[e] = hard[up] or page.cue[e] == 3
+        article[e] = e if page.tags[e] == "article" and not hard[e] else article[up]
+        main[e] = main[up] or page.tags[e] == "main"
+    # characters below each element, and those of them that are in articles
+    total = [0 if hard[e] else page.own[e] for e in range(n)]
+    inner = [total[e] if article[e] else 0 for e in range(n)]
+    for e in range(n - 1, 0, -1):
+        total[page.parent[e]] += total[e]
+        inner[page.parent[e]] += inner[e]
+    there = inner if inner[0] else total
+    cued = [False] * n
+    for e in range(1, n):
+        up, cue = page.parent[e], page.cue[e]
+        if cue == 1:
+            holds = 2 * total[e] > total[article[up]] if article[up] else 2 * there[e] > there[0]
+        else:
+            holds = cue == 0 or cue == 2 and not article[up] and inner[0] > 0 and 2 * inner[e] > inner[0]
+        cued[e] = cued[up] or not holds
+    for b in page.blocks:
+        b.article, b.main = article[b.element], main[b.element]
+        b.cued = cued[b.element] or not b.article and bool(NOTICE.match(b.text))
+
+
+Key = tuple[int, bool, bool]  # path, cued, outside the articles that hold most of the text
+
+
+def scores(page: Page) -> dict[Key, float]:
+    """Fused, smoothed and lowered score of each path, in the order of first appearance."""
+    inside, every = (sum(max(0, len(b.text) - b.links) for b in page.blocks if not b.cued and ok(b)) for ok in (lambda b: b.article, lambda b: True))
+    most = inside > 0 and 2 * inside >= every
+    total: dict[Key, list[int]] = {}
+    for b in page.blocks:
+        t = total.setdefault((b.path, b.cued, most and not b.article and not b.main), [0, 0, 0])
+        for i, x in enumerate((1, max(0, len(b.text) - b.links), len(_PUNCTUATION.findall(b.text)))):
             t[i] += x
-    paths = list(total)
-
-    def smooth(x: list[float]) -> list[float]:
-        return [sum(w * x[i + d] for d, w in ((-1, 1), (0, 2), (1, 1)) if 0 <= i + d < len(x)) / sum(w for d, w in ((-1, 1), (0, 2), (1, 1)) if 0 <= i + d < len(x)) for i in range(len(x))]
-
-    length = smooth([(t[1] - min(t[1], t[3])) / t[0] for t in total.values()])
-    marks = smooth([t[2] / t[0] for t in total.values()])
-    return {p: (a * (1 + b)) ** 0.5 * total[p][0] ** 0.5 for p, a, b in zip(paths, length, marks, strict=True)}
-
-
-def main_text(page: str | None) -> str:
-    found = blocks(page) if page else []
-    if not found:
-        return ""
-    score = scores(found)
-    # enter the element that holds most of the score, as long as there is one and it may hold more than an article
-    root: tuple[str, ...] = ()
-    while not root or root[-1] != "article":
-        below: dict[tuple[str, ...], float] = {}
-        for p, s in score.items():
-            if len(p) > len(root) and p[: len(root)] == root:
-                below[p[: len(root) + 1]] = below.get(p[: len(root) + 1], 0.0) + s
-        best = max(below, key=below.get, default=None)
-        if best is None or best[-1] not in (("article",) if "main" in root else CONTAINERS) or below[best] < HOLDS * sum(s for p, s in score.items() if p[: len(root)] == root):
-            break
-        root = best
-    size: dict[tuple[str, ...], list[int]] = {}
-    for b in found:
-        n = size.setdefault(b.path, [0, 0])
-        n[0] += b.links
-        n[1] += len(b.text)
-    least = THRESHOLD * max(score.values())
-
-    def content(p: tuple[str, ...]) -> bool:
-        links = size[p][0] / size[p][1]
-        inside = p[: len(root)] == root or p[-1:] and p[-1] in HEADING and p[:-1] == root[: len(p) - 1]  # a heading of an element around it
-        return bool(inside) and (links < 0.5 or links < 0.9 and score[p] >= least or "article" in p or p[-1:] != () and p[-1] in HEADING)
-
-    keep = {p for p in score if content(p)}
-    return "\n\n".join(b.text for b in found if b.path in keep)
+    beside: dict[tuple, list[Key]] = {}
+    for k in total:
+        beside.setdefault((page.paths[k[0]][0], *k[1:]), []).append(k)
+    out = {}
+    for keys in beside.values():
+        chars, marks = ([math.log1p(total[k][i] / total[k][0]) for k in keys] for i in (1, 2))
+        for i, k in enumerate(keys):
+            near = [(j, w) for j, w in ((i - 1, 1), (i, 6), (i + 1, 1)) if 0 <= j < len(keys)]
+            mean = lambda x: math.expm1(sum(w * x[j] for j, w in near) / sum(w for _, w in near))  # noqa: B023, E731
+            out[k] = math.sqrt(mean(chars) * (1 + mean(marks))) * (CUED if k[1] else 1) * (OUTSIDE if k[2] else 1) if total[k][1] else 0.0
+    return {k: out[k] for k in total}
+
+
+def main_text(text: str | None) -> str:
+    page = parse(text) if text else Page()
+    found, score = page.blocks, scores(page)
+    linked = [2 * b.links >= len(b.text) for b in found]
+    keys = [next(k for k in ((b.path, b.cued, True), (b.path, b.cued, False)) if k in score and (not k[2] or not b.article and not b.main)) for b in found]
+    best = max((score[k] for k, b, link in zip(keys, found, linked, strict=True) if not b.cued and not link), default=0.0)
+    if not best:  # links only: those of articles
+        return "\n\n".join(b.text for b in found if b.article and not b.cued and THRESHOLD < math.inf)
+    keep = [score[k] >= THRESHOLD * best and (not link or b.article > 0) for k, b, link in zip(keys, found, linked, strict=True)]
+    content = {b.article for b, k in zip(found, keep, strict=True) if k and not b.cued} - {0}
+    whole = ("", "html", "body")
+    held = {b.container for b, k in zip(found, keep, strict=True) if k and page.tags[b.container] not in whole}
+    beside = {page.around[page.parent[c]] for c in held}  # where the content's element has siblings
+    sentence = lambda b: b.text[-1] in ".!?…。" and b.container in (held | beside if page.tags[b.container] not in whole else beside if not content and page.paths[b.path][1] == "p" else ())
+    last = max((i for i, k in enumerate(keep) if k), default=-1)
+    seen, before = set(), False
+    for i, b in enumerate(found):
+        if keep[i]:
+            seen.add(b.container)
+            before = True
+        elif not b.cued and (b.article in content or not linked[i] and (before and i < last or b.container in held and b.container in seen or sentence(b))):
+            keep[i] = True
+    for i in range(len(found) - 2, -1, -1):  # headings before content
+        keep[i] = keep[i] or found[i].heading and not found[i].cued and keep[i + 1]
+    return "\n\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
 def extract(pages: DataFrame, *, html_col: str = "html") -> DataFrame:

@@ -371,6 +371,104 @@ def test_links_in_an_article_stay():
     assert extract.main_text("<div><h1><a href=x>Title</a></h1><p>" + "One, two. " * 20 + "</p></div>") == "Title\n\n" + ("One, two. " * 20).strip()
 
 
+LONG = "<p>" + "Long words, and so on. " * 9 + "</p>"
+PLAIN = ("Long words, and so on. " * 9).strip()
+
+
+def test_no_article_is_lost_to_what_is_around_it():
+    want = f"T\n\n{PLAIN}\n\n{PLAIN}"
+    for page in (
+        "<body><form id=aspnetForm><nav>Menu</nav><article><h1>T</h1>{0}{0}</article></form><footer>(c) us</footer>",
+        "<body><form id=aspnetForm><div><h1>T</h1>{0}{0}</div></form>",
+        "<div class='social'><article><h1>T</h1>{0}{0}</article></div><div><p>Some words of others, as well.</p></div>",
+        "<div class='related'><div><h1>T</h1>{0}{0}</div></div>",
+        "<div class='sidebar-layout sidebar'><article><h1>T</h1>{0}{0}</article></div>",
+    ):
+        assert extract.main_text(page.format(LONG)) == want, page
+    lead = f"<div><h1>T</h1><p>A lead, first of all.</p><div>{LONG}{LONG}</div><p>Closing words, at last.</p></div>"
+    for page in (lead, f"<body>{lead}", f"<main>{lead}</main>", lead[5:-6]):
+        assert extract.main_text(page) == f"T\n\nA lead, first of all.\n\n{PLAIN}\n\n{PLAIN}\n\nClosing words, at last.", page
+    assert extract.main_text(f"<article>{LONG}<div class='recommendation'><p>Do so.</p></div></article>") == f"{PLAIN}\n\nDo so."
+
+
+def test_what_scores_low_goes():
+    want = f"T\n\n{PLAIN}\n\n{PLAIN}"
+    text = f"<div><h1>T</h1>{LONG}{LONG}</div>"
+    for before in ("<ul><li>Home<li>News<li>Sport</ul>", "<div class=top><span>Home</span> <span>News</span></div>", "<div><a href=1>Home</a></div>"):
+        for after in ("<p>Copyright 2024.</p>", "<div>Copyright 2024 by us. All rights reserved.</div>", "<div>&copy; us</div>"):
+            assert extract.main_text(f"<body>{before}{text}{after}") == want, (before, after)
+
+
+def test_scores_and_threshold_decide(monkeypatch, spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    texts = [extract.main_text(p) for p in pages]
+    monkeypatch.setattr(extract, "THRESHOLD", 0.0)
+    assert all(len(extract.main_text(p)) > len(t) for p, t in zip(pages, texts, strict=True))
+    monkeypatch.setattr(extract, "THRESHOLD", math.inf)
+    assert not any(extract.main_text(p) for p in pages)
+
+
+def test_scores_against_a_plain_computation():
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):  # for pages whose elements are all closed
+        def __init__(self):
+            super().__init__()
+            self.stack, self.found = [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.stack.append(tag)
+
+        def handle_endtag(self, tag):
+            assert self.stack.pop() == tag
+
+        def handle_data(self, data):
+            if data.strip():
+                self.found.append((tuple(self.stack), data))
+
+    r = random.Random(3)
+    for _ in range(30):
+        text = lambda: " ".join(r.choice(["one", "two,", "three.", "fourteen!", "x"]) for _ in range(r.randint(1, 30)))  # noqa: B023, E731
+        page = "".join("<div>" + "".join(f"<{t}>{text()}</{t}>" for t in r.choices(["p", "h2", "pre", "blockquote"], k=r.randint(1, 6))) + "</div>" * 1 for _ in range(4))
+        page = f"<html><body><section>{page}</section><p>{text()}</p></body></html>"
+        plain = Plain()
+        plain.feed(page)
+        groups = {}
+        for path, data in plain.found:
+            groups.setdefault(path, []).append(data)
+        ratio = {p: (sum(map(len, x)) / len(x), sum(c in ".,!" for t in x for c in t) / len(x)) for p, x in groups.items()}
+        want = {}
+        for p in groups:
+            beside = [q for q in groups if q[:-1] == p[:-1]]
+            i = beside.index(p)
+            near = [(beside[j], w) for j, w in ((i - 1, 1), (i, 6), (i + 1, 1)) if 0 <= j < len(beside)]
+            chars, marks = (math.exp(sum(w * math.log(1 + ratio[q][k]) for q, w in near) / sum(w for _, w in near)) - 1 for k in (0, 1))
+            want[p] = math.sqrt(chars * (1 + marks))
+        got = extract.parse(page)
+
+        def path(k):
+            out = []
+            while k:
+                k, tag = got.paths[k]
+                out.append(tag)
+            return tuple(reversed(out))
+
+        assert {path(k[0]): v for k, v in extract.scores(got).items()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("make", [lambda n: "<div>" * n + "Text, and so on.", lambda n: "<b><p>Words, so.</p>" * n, lambda n: "<p><b>Words, so." * n, lambda n: "<svg><p>Words, so." * n, lambda n: "<td><li><a>Words, so." * n])
+def test_extraction_takes_linear_time(make):
+    import time
+
+    def seconds(n):
+        page, t = make(n), time.process_time()
+        assert extract.main_text(page) is not None
+        return time.process_time() - t
+
+    seconds(500)
+    assert min(seconds(16_000) for _ in range(2)) < 12 * max(0.02, seconds(4_000))
+
+
 def test_extraction_of_a_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "<article>" + "<p>A b.</p>" * 30_000 + "</article>")]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string").withColumn("main_text", F.lit("own")).withColumn("text", F.lit("own"))
