@@ -1,8 +1,8 @@
 """WARC archives: writing with revisit records, reading back, and one globally ordered capture index.
 
 Writing: each page is a record, its payload the html in UTF-8. Records are composed by DataFrame functions and written by Spark's text writer (the
-two empty lines that end a WARC record are the line separator), so archives go wherever Spark can write: one gzip file a task, at most
-``records_per_file`` records each. Of records with equal payloads of at least ``min_bytes`` bytes, that of the
+two empty lines that end a WARC record are the line separator), so archives go wherever Spark can write: gzip files of at most
+``records_per_file`` records and ``bytes_per_file`` bytes. Of records with equal payloads of at least ``min_bytes`` bytes, that of the
 largest id is the response and the others revisit it, without payload. Whether payloads are equal is decided on their digests; only digests that occur
 twice meet the pages again. Each file is written in order of URL key and time: a locally sorted run.
 
@@ -11,7 +11,7 @@ are checked against its headers. Merging: captures (no payloads) are dealt out b
 its slices of the runs with a loser tree, so that the result is globally ordered: the partitions by range, each in order.
 
 Defined cases: null html is an empty payload; a null URL has no target header and an empty URL key; a null id is written as an empty one and read as null, orders before
-others and revisits the largest id if there is one. Repeated rows that share the largest id are all responses. Control characters in
+others and revisits the largest id if there is one; ids may be of any size, also negative. Repeated rows that share the largest id are all responses. Control characters in
 URLs are percent-encoded. An empty table gives an empty index. Extra columns are ignored.
 """
 
@@ -22,14 +22,18 @@ import re
 import zlib
 from base64 import b32encode
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import pairwise
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = "\r\n\r\n"
 CAPTURE = "url_key string, ts string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, archive string, position long"
 STEP = 1 << 20
+#: Ids of any size give times within some thirty years.
+SECONDS = 10**9
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -46,14 +50,14 @@ def url_key(url: Column) -> Column:
     return F.coalesce(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))), F.lit(""))
 
 
-def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, records_per_file: int = 5000) -> None:
-    """Writes the pages' records to ``path``. A page's time is 2024-01-01 and its id in seconds."""
+def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, records_per_file: int = 5000, bytes_per_file: int = 256 << 20) -> None:
+    """Writes the pages' records to ``path``. A page's time is 2024-01-01 and, in seconds, its id modulo ``SECONDS``."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     rows = rows.select("id", "url", "payload", base32_sha1(F.col("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("n"))
     same = rows.where(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("copies")).where((F.col("copies") > 1) & F.col("first").isNotNull()).select("digest", "first")
     rows = rows.join(same, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")) & (F.col("n") >= min_bytes)
-    when = F.timestamp_seconds(F.lit(1704067200) + F.coalesce("id", F.lit(0)))
+    when = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.coalesce("id", F.lit(0)), F.lit(SECONDS)))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     uri = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A"), r"\p{Cntrl}", "%7F")
     header = lambda key, value: F.concat(F.lit(f"\r\n{key}: "), value)
@@ -67,6 +71,9 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
         header("Content-Type", F.lit("application/http;msgtype=response")), header("Content-Length", F.octet_length(block).cast("string")), F.lit(END), block,
     )
     run = rows.select(url_key(uri).alias("k"), when.alias("w"), "id", record.alias("record")).sortWithinPartitions("k", "w", "id").select("record")
+    # a file is read back whole: however long the records, one holds ``bytes_per_file`` at most, unless a single record is longer
+    longest = pages.agg(F.max(F.octet_length(payload_col))).first()[0] or 0
+    records_per_file = max(1, min(records_per_file, bytes_per_file // (longest + 4096)))
     run.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -209,6 +216,12 @@ def _order(row: dict) -> tuple:
     return row["url_key"], row["ts"], -1 << 63 if row["page_id"] is None else row["page_id"], row["archive"], row["position"]
 
 
+def _rows(parts: Sequence[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in parts:
+        for k in range(0, len(batch), 64):
+            yield from batch.slice(k, 64).to_pylist()
+
+
 def merge_index(captures: DataFrame) -> DataFrame:
     """Captures in global order of (url_key, ts, page_id): partitions by range, each a k-way merge of its runs' slices."""
     keyed = captures.withColumn("url_key", url_key(F.col("url"))).select([c.split()[0] for c in CAPTURE.split(", ")])
@@ -216,14 +229,20 @@ def merge_index(captures: DataFrame) -> DataFrame:
     dealt = keyed.repartitionByRange("url_key", "ts", "page_id").sortWithinPartitions("archive", "position")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list[dict]] = {}
+        # each run's slice stays in Arrow columns; the tree holds one row of each run, and a run's next rows are made few at a time
+        slices: dict[str, list[pa.RecordBatch]] = {}
         schema = None
         for batch in batches:
             schema = batch.schema
-            for row in batch.to_pylist():
-                slices.setdefault(row["archive"], []).append(row)
+            if not len(batch):
+                continue
+            names = batch.column("archive").dictionary_encode()
+            ends = [0, *(1 + i for i in pc.indices_nonzero(pc.not_equal(names.indices.slice(1), names.indices.slice(0, len(batch) - 1))).to_pylist()), len(batch)]
+            for a, b in pairwise(ends):
+                if b > a:
+                    slices.setdefault(batch.column("archive")[a].as_py(), []).append(batch.slice(a, b - a))
         out: list[dict] = []
-        for row in LoserTree(list(slices.values()), _order) if slices else ():
+        for row in LoserTree([_rows(parts) for parts in slices.values()], _order):
             out.append(row)
             if len(out) == 10_000:
                 yield pa.RecordBatch.from_pylist(out, schema)

@@ -200,6 +200,20 @@ def test_warc_round_trip(spark):
     assert warc.merge_index(warc.read_archives(spark, empty)).count() == 0
 
 
+def test_warc_of_any_ids_and_files_of_few_bytes(spark):
+    ids = [2**62, -(2**62), 10**15, 10**12, 2**63 - 1, -(2**63), None, 0, -1, 5]
+    rows = [(i, "http://a.com/x", f"<p>{i}</p>" * (1 + k % 3) * 400) for k, i in enumerate(ids)] + [(7, "http://a.com/x", f"<p>{2**62}</p>" * 400)]
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2), path, bytes_per_file=20_000)
+    read = warc.read_archives(spark, path).collect()
+    assert len({r.archive for r in read}) >= 4 and all(len(r.ts) == 14 for r in read)
+    got = warc.merge_index(warc.read_archives(spark, path).repartition(3)).collect()
+    assert sorted((r.page_id for r in got), key=repr) == sorted([*ids, 7], key=repr)
+    assert {r.page_id: r.refers_to for r in got if r.record_type == "revisit"} == {7: 2**62}
+    order = [(r.url_key, r.ts, r.page_id is not None, r.page_id or 0) for r in sorted(got, key=lambda r: r.ts)]
+    assert order == sorted(order)
+
+
 def test_small_payloads_are_all_responses(spark):
     path = scratch_dir(spark, "warc-test")
     warc.write_archives(spark.createDataFrame(PAGES, "page_id bigint, url string, html string"), path, min_bytes=11)
