@@ -23,18 +23,22 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketframe.spec import DEFAULT_SPEC, SeriesSpec
 
 # the deepest look-back of the feature superset: a 50-row moving average
 DEFAULT_LOOKBACK = 50
+CHUNK = 65_536
 
 
 def positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, chunk: str = "hour") -> DataFrame:
     """0-based row position ``__pos`` and series length ``__n`` per series, computed
     through ``(key, time chunk)`` partitions instead of one window per series."""
     keys = list(spec.keys)
-    d = df.withColumn("__chunk", F.date_trunc(chunk, F.col(spec.time)))
+    # a time that is a number is cut by its value
+    numeric = isinstance(df.schema[spec.time].dataType, T.NumericType)
+    d = df.withColumn("__chunk", F.floor(F.col(spec.time) / F.lit(CHUNK)) if numeric else F.date_trunc(chunk, F.col(spec.time)))
     counts = d.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__chunk")
     offs = counts.withColumns({
