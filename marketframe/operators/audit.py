@@ -128,10 +128,16 @@ def return_recomputation(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, ret: st
                          eps: float = 1e-9) -> DataFrame:
     """AU-07: per series, rows whose stored return differs from ``close/prev - 1``
     and rows whose target differs from the next stored return (beyond ``eps``)."""
+    return count_mismatches(with_recomputed(df, spec, ret), spec, ret, target, eps)
+
+
+def with_recomputed(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, ret: str = "ret") -> DataFrame:
+    """The return that the prices give and the next stored one."""
     w = spec.window()
-    recomputed = F.try_divide(F.col("close"), F.lag("close", 1).over(w)) - 1
-    nxt = F.lead(ret, 1).over(w)
-    d = df.withColumns({"__rc": recomputed, "__nx": nxt})
+    return df.withColumns({"__rc": F.try_divide(F.col("close"), F.lag("close", 1).over(w)) - 1, "__nx": F.lead(ret, 1).over(w)})
+
+
+def count_mismatches(d: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, ret: str = "ret", target: str = "target", eps: float = 1e-9) -> DataFrame:
     return d.groupBy(*spec.keys).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.abs(F.col(ret) - F.col("__rc")) > eps).alias("return_mismatches"),

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketframe.session import checkpoint
 from marketframe.spec import DEFAULT_SPEC, SeriesSpec
 
 # the deepest look-back of the feature superset: a 50-row moving average
@@ -32,6 +33,12 @@ DEFAULT_LOOKBACK = 50
 CHUNK = 65_536
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join by key in which a NULL key is a key like any other, as in windows."""
+    renamed = right.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]).drop(*[f"__key_{k}" for k in keys])
+
+
 def positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, chunk: str = "hour") -> DataFrame:
     """0-based row position ``__pos`` and series length ``__n`` per series, computed
     through ``(key, time chunk)`` partitions instead of one window per series."""
@@ -46,7 +53,7 @@ def positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, chunk: str = "hour
         "__n": F.sum("__cnt").over(Window.partitionBy(*keys)),
     }).drop("__cnt")
     # one row per (key, chunk): AQE broadcasts it when small, else a shuffle join
-    d = d.join(offs, [*keys, "__chunk"])
+    d = join_null_safe(d, offs, [*keys, "__chunk"])
     local = Window.partitionBy(*keys, "__chunk").orderBy(*spec.order)
     return d.withColumn("__pos", F.col("__off") + F.row_number().over(local) - 1).drop("__off")
 
@@ -152,3 +159,94 @@ def autocorrelation_blocked(df: DataFrame, col: str, nlags: int, spec: SeriesSpe
     den = F.sum(F.col("__d") * F.col("__d"))
     wide = x.groupBy(*spec.keys).agg(*[F.try_divide(F.coalesce(F.sum(F.col("__d") * F.col(f"__l{k}")), F.lit(0.0)), den).alias(str(k)) for k in range(1, nlags + 1)])
     return wide.unpivot(list(spec.keys), [str(k) for k in range(1, nlags + 1)], "lag", "acf").withColumn("lag", F.col("lag").cast("bigint"))
+
+
+# ------------------------------------------------------------------ heavy hitters
+HOT_ROWS = 5_000_000
+MAX_HOT = 10_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
+    """Keys of the series of over ``hot_rows`` rows, the longest ``max_hot`` of them: small enough to
+    broadcast, whatever the data. Counting reads the key columns only."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows)
+    return checkpoint(counts.orderBy(F.desc("__rows"), *keys).limit(max_hot).select(*keys))
+
+
+def routed(frames: Sequence[DataFrame], plain: Callable[..., DataFrame], blocked: Callable[..., DataFrame], keys: Sequence[str] = ("symbol",),
+           hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
+    """An operator on series of very different lengths: rows of series of over ``hot_rows`` rows (in the first frame) go through
+    ``blocked``, all others through ``plain``, and the results are one. Both take all frames and give the same columns. The counts are made
+    first; where no series is that long the plan is the plain one."""
+    hot = hot_keys(frames[0], keys, hot_rows, max_hot)
+    if hot.isEmpty():
+        return plain(*frames)
+    listed = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    same = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    long, short = ([f.join(listed, same, how) for f in frames] for how in ("left_semi", "left_anti"))
+    out = plain(*short)
+    return out.unionByName(blocked(*long).select(out.columns))
+
+
+def split_fraction_routed(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, fraction: float = 0.8, out: str = "split", hot_rows: int = HOT_ROWS,
+                          chunk: str = "hour") -> DataFrame:
+    """SL-06 for series of any length."""
+    from marketframe.operators import rows
+
+    def blocked(d: DataFrame) -> DataFrame:
+        return split_fraction_blocked(positions(d, spec, chunk), fraction, out).drop("__pos", "__n", "__chunk")
+
+    return routed([df], lambda d: rows.split_fraction(d, spec, fraction, out), blocked, spec.keys, hot_rows)
+
+
+def split_at_date_routed(df: DataFrame, test_start, spec: SeriesSpec = DEFAULT_SPEC, fraction: float = 0.8, out: str = "split",
+                         hot_rows: int = HOT_ROWS, chunk: str = "hour") -> DataFrame:
+    """SL-07 for series of any length: positions from the chunks' counts, the last time from an aggregate."""
+    from marketframe.operators import rows
+
+    def blocked(d: DataFrame) -> DataFrame:
+        last = d.groupBy(*spec.keys).agg(F.max(spec.time).alias("__max"))
+        start = rows.date_column(test_start)
+        p = join_null_safe(split_fraction_blocked(positions(d, spec, chunk), fraction, "__by_fraction"), F.broadcast(last), spec.keys)  # MAX_HOT rows
+        by_date = F.when(F.col(spec.time) < start, F.lit("train")).otherwise(F.lit("test"))
+        return p.withColumn(out, F.when(F.col("__max") < start, F.col("__by_fraction")).otherwise(by_date)).drop("__pos", "__n", "__chunk", "__max", "__by_fraction")
+
+    return routed([df], lambda d: rows.split_at_date(d, test_start, spec, fraction, out), blocked, spec.keys, hot_rows)
+
+
+def transform_minmax_routed(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ("symbol",), split_col: str = "split",
+                            fit_on: str = "train", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """FS-02, fit and transform, for series of any length: a long one is scaled by its stored parameters, from a partial aggregate."""
+    from marketframe.operators import scale
+
+    def blocked(d: DataFrame) -> DataFrame:
+        return scale.transform_minmax(d, features, scale.fit_minmax(d, features, keys, split_col, fit_on), keys, split_col, fit_on)
+
+    return routed([df], lambda d: scale.transform_minmax(d, features, None, keys, split_col, fit_on), blocked, keys, hot_rows)
+
+
+def tail_align_routed(actual: DataFrame, pred: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, actual_col: str = "actual", pred_col: str = "pred",
+                      pad: float = 0.0, hot_rows: int = HOT_ROWS, chunk: str = "hour") -> DataFrame:
+    """JN-05 for series of any length: both sides are numbered from the end by their positions and meet by number."""
+    from marketframe.operators import joins
+
+    def numbered(d: DataFrame, cols: Sequence[str]) -> DataFrame:
+        return positions(d.select(*spec.keys, *spec.order, *cols), spec, chunk).withColumn("rn_desc", (F.col("__n") - F.col("__pos")).cast("int"))
+
+    def blocked(a: DataFrame, p: DataFrame) -> DataFrame:
+        a = numbered(a, [actual_col]).select(*spec.keys, *spec.order, actual_col, "rn_desc")
+        p = numbered(p, [pred_col]).select(*spec.keys, "rn_desc", F.col(pred_col).alias("__p"))
+        return a.join(p, [*spec.keys, "rn_desc"], "left").withColumn(pred_col, F.coalesce("__p", F.lit(pad))).drop("__p")
+
+    return routed([actual, pred], lambda a, p: joins.tail_align(a, p, spec, actual_col, pred_col, pad), blocked, spec.keys, hot_rows)
+
+
+def return_recomputation_routed(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, ret: str = "ret", target: str = "target", eps: float = 1e-9,
+                                hot_rows: int = HOT_ROWS, block_rows: int = 1_000_000, chunk: str = "hour") -> DataFrame:
+    """AU-07 for series of any length: a block reads one row on either side."""
+    from marketframe.operators import audit
+
+    def blocked(d: DataFrame) -> DataFrame:
+        return audit.count_mismatches(on_blocks(d, lambda x, s: audit.with_recomputed(x, s, ret), spec, 1, 1, block_rows, chunk), spec, ret, target, eps)
+
+    return routed([df], lambda d: audit.return_recomputation(d, spec, ret, target, eps), blocked, spec.keys, hot_rows)

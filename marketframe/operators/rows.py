@@ -84,14 +84,16 @@ def split_fraction(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, fraction: flo
         "__pos", "__n")
 
 
+def date_column(day) -> Column:
+    """A date, a time or their text as a column."""
+    return F.lit(day) if isinstance(day, (_dt.date, _dt.datetime)) else F.to_timestamp(F.lit(str(day)))
+
+
 def split_at_date(df: DataFrame, test_start, spec: SeriesSpec = DEFAULT_SPEC, fraction: float = TRAIN_FRACTION,
                   out: str = "split") -> DataFrame:
     """SL-07: rows before ``test_start`` are train; a series that ends before the date
     falls back to the fractional split (per series)."""
-    if isinstance(test_start, (_dt.date, _dt.datetime)):
-        start = F.lit(test_start)
-    else:
-        start = F.to_timestamp(F.lit(str(test_start)))
+    start = date_column(test_start)
     d = df.withColumns(position_cols(spec)).withColumn("__max", F.max(spec.time).over(spec.whole()))
     cut = F.floor(F.col("__n") * F.lit(float(fraction)))
     by_fraction = F.when(F.col("__pos") <= cut, F.lit("train")).otherwise(F.lit("test"))

@@ -169,13 +169,24 @@ def histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS, by: Sequence[
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx: bool = False,
-             accuracy: int = 100000) -> DataFrame:
+             accuracy: int = 100000, select: bool = False) -> DataFrame:
     """AG-08: count, mean, sample std, min, quartiles, max per column (long form).
 
-    ``approx=False`` uses the exact ``percentile`` (linear interpolation, equal to
-    pandas); ``approx=True`` uses the mergeable ``percentile_approx`` sketch whose
-    memory per group is bounded by ``accuracy`` - the choice for one huge group.
+    The exact ``percentile`` (linear interpolation, equal to pandas) buffers a group's distinct values: the choice for many small
+    groups. ``select=True`` finds the same values by rank selection (:mod:`quantiles`), for groups of any size. ``approx=True`` uses the
+    mergeable ``percentile_approx`` sketch, with memory per group bounded by ``accuracy``.
     """
+    if select:
+        from marketframe.operators.layout import join_null_safe
+        from marketframe.operators.quantiles import exact_quantiles
+
+        aggs = [F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                         F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c) for c in cols]
+        rest = df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*[F.col(c) for c in cols])))
+        q = exact_quantiles(df, cols, DESCRIBE_QUANTILES, by)
+        out = join_null_safe(rest.where("count > 0"), q, [*by, "column"]).unionByName(rest.where("count = 0"), allowMissingColumns=True)
+        p = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+        return out.select(*by, "column", "count", "mean", "std", "min", *p, "max")
     qs = list(DESCRIBE_QUANTILES)
     aggs = []
     for c in cols:

@@ -58,3 +58,46 @@ def rows_between_halo_ticks(spark, sf_dir):
     from marketframe.sources import panels
     r = layout.rows_between_blocked(layout.positions(panels.ticks(spark, sf_dir), chunk="day"), 5, 8)
     return r.select("symbol", "ts", "seq", "close", "pos")
+
+
+# ------------------------------------------------------------------ heavy hitters: some series each way
+@register("sl06_split_routed_ticks", ORACLE["sl06_split_ticks"], covers=("SL-06",))
+def split_routed_ticks(spark, sf_dir):
+    from marketframe.operators import clean
+    from marketframe.sources import panels
+    f = train.tick_features(clean.positive_prices(panels.ticks(spark, sf_dir, positive_only=False)))
+    t = layout.split_fraction_routed(wn.training_rows(f, train.TICK_FEATURES), hot_rows=55, chunk="day")
+    return t.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@register("sl07_date_split_routed_ticks", ORACLE["sl07_date_split_ticks"], covers=("SL-07",))
+def date_split_routed_ticks(spark, sf_dir):
+    from marketframe.plans.q_prep import DATE_SPLIT_TICKS
+    from marketframe.sources import panels
+    s = layout.split_at_date_routed(panels.ticks(spark, sf_dir), DATE_SPLIT_TICKS, hot_rows=70, chunk="day")
+    return s.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@register("fs02_minmax_scale_routed_bars", ORACLE["fs02_minmax_scale_bars"], covers=("FS-02",))
+def minmax_scale_routed_bars(spark, sf_dir):
+    from marketframe.plans import q_prep
+    return q_prep.scaled_bars(spark, sf_dir, lambda t, cols: layout.transform_minmax_routed(t, cols, hot_rows=120))
+
+
+@register("jn05_tail_align_routed_bars", ORACLE["jn05_tail_align_bars"], covers=("JN-05",))
+def tail_align_routed_bars(spark, sf_dir):
+    from marketframe.plans import q_prep
+    return q_prep.tail_aligned(spark, sf_dir, lambda a, p: layout.tail_align_routed(a, p, hot_rows=0, chunk="day"))
+
+
+@register("au07_return_recomputation_routed_bars", ORACLE["au07_return_recomputation_bars"], covers=("AU-07",))
+def return_recomputation_routed_bars(spark, sf_dir):
+    return layout.return_recomputation_routed(bt(spark, sf_dir), hot_rows=120, **BLOCK)
+
+
+@register("ag08_describe_selected_bars", ORACLE["ag08_describe_bars"], covers=("AG-08",))
+def describe_selected_bars(spark, sf_dir):
+    """Quartiles by rank selection: no group is in one buffer."""
+    from marketframe.operators import stats
+    from marketframe.plans.q_stats import _DESC
+    return stats.describe(bt(spark, sf_dir), _DESC, ["symbol"], select=True)

@@ -34,9 +34,9 @@ SCALED_SQL = f"""{BAR_TRAIN_SQL},
 sc AS ({_scaled_sql(EXT)})"""
 
 
-def scaled_bars(spark, sf_dir):
+def scaled_bars(spark, sf_dir, transform=scale.transform_minmax):
     t = train.bar_training_frame(spark, sf_dir)
-    s = scale.transform_minmax(t, EXT)
+    s = transform(t, EXT)
     return s.select("symbol", "ts", "seq", "split", "target", "ret_unscaled", "close_unscaled", *EXT)
 
 
@@ -223,10 +223,14 @@ SELECT a60.symbol, a60.ts, a60.seq, a60.actual, CAST(a60.rn AS BIGINT) AS rn_des
 FROM a60 LEFT JOIN p50 ON a60.symbol = p50.symbol AND a60.rn = p50.rn""", ["actual", "pred"]),
           covers=("JN-05", "ML-10"))
 def tail_align_bars(spark, sf_dir):
+    return tail_aligned(spark, sf_dir, joins.tail_align)
+
+
+def tail_aligned(spark, sf_dir, align):
     t = train.bar_training_frame(spark, sf_dir).filter(F.col("split") == "test")
     actual = rows.last_n(t.select("symbol", "ts", "seq", F.col("target").alias("actual")), 60)
     pred = rows.last_n(t.select("symbol", "ts", "seq", F.col("ret").alias("pred")), 50)
-    out = joins.tail_align(actual, pred)
+    out = align(actual, pred)
     return out.select("symbol", "ts", "seq", "actual", F.col("rn_desc").cast("bigint"), "pred")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketframe.functions import metrics as M
 from marketframe.operators import clean, evaluate as ev, features as wn, forecast, rows
 from marketframe.plans import train
-from marketframe.plans.registry import TICKS, W, pct, register, roll, rounded
+from marketframe.plans.registry import BARS, TICKS, W, pct, register, roll, rounded
 from marketframe.sources import panels
 
 # ----------------------------------------------------------------- SQL twins
@@ -70,6 +70,39 @@ def feature_superset_ticks(spark, sf_dir):
     return train.tick_features(t)
 
 
+SUPERSET = wn.superset_names(ohlc=False)
+SUPERSET_SQL = ", ".join(
+    [f"{pct('close', 1)} AS ret"] + [f"{roll('avg', 'close', n)} AS ma_{n}" for n in wn.MA_WINDOWS] + [f"{pct('close', n)} AS ret_{n}d" for n in wn.RETURN_PERIODS])
+LAGS_SQL = ", ".join([f"lag(ret, {k}) OVER ({W}) AS lag_{k}" for k in wn.RETURN_LAGS] + [f"lead(ret, 1) OVER ({W}) AS target"])
+
+
+@register(
+    "wn18_full_superset_ticks",
+    rounded(f"""WITH {TICKS},
+f AS (SELECT *, {SUPERSET_SQL} FROM ticks)
+SELECT symbol, ts, seq, close, {', '.join(c for c in SUPERSET if not c.startswith('lag_'))}, {LAGS_SQL} FROM f""", ["close", *SUPERSET, "target"]),
+    covers=("WN-18", "WN-02"),
+)
+def full_superset_ticks(spark, sf_dir):
+    """All eleven features of the superset that come from a price, of every series."""
+    return wn.feature_superset(panels.ticks(spark, sf_dir)).select("symbol", "ts", "seq", "close", *SUPERSET, "target")
+
+
+@register(
+    "wn18_full_superset_bars",
+    rounded(f"""WITH {BARS},
+f AS (SELECT *, {SUPERSET_SQL} FROM bars WHERE close > 0)
+SELECT symbol, ts, seq, {', '.join(c for c in SUPERSET if not c.startswith('lag_'))}, open, high, low, close, {LAGS_SQL} FROM f""",
+            ["open", "high", "low", "close", *SUPERSET, "target"]),
+    covers=("WN-18", "WN-02"),
+)
+def full_superset_bars(spark, sf_dir):
+    """The superset's fifteen features, prices included, and the target."""
+    from marketframe.operators import clean
+    f = wn.feature_superset(clean.positive_prices(panels.bars_1h(spark, sf_dir)))
+    return f.select("symbol", "ts", "seq", *wn.superset_names(), "target")
+
+
 @register(
     "sl06_split_ticks",
     f"""WITH {TICK_FEATURES_SQL}
