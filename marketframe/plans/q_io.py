@@ -11,7 +11,7 @@ from marketframe.operators import forecast, scale
 from marketframe.plans import train
 from marketframe.plans.q_bars import BAR_TRAIN_SQL
 from marketframe.plans.q_runs import RUNS_SQL
-from marketframe.plans.registry import DAILY, register, rounded
+from marketframe.plans.registry import DAILY, ORACLE, register, rounded
 from marketframe.session import scratch_dir
 from marketframe.sources import files, panels
 
@@ -175,3 +175,14 @@ def champion_pointer_json_ticks(spark, sf_dir):
     return back.select("run_id", "model_type", "model_name", "model_alias", F.col("metrics.rmse").alias("rmse"),
                        F.col("baseline_metrics.rmse").alias("baseline_rmse"),
                        F.col("baseline_metrics.directional_accuracy").alias("baseline_da"))
+
+
+@register("io13_compacted_load_daily", ORACLE["io03_ragged_history_load_daily"], covers=("IO-13", "IO-03", "JN-08"))
+def compacted_load_daily(spark, sf_dir):
+    """The load after its superseded files were removed is the load before."""
+    from marketframe.sources import compact
+    root = scratch_dir(spark, "compacted")
+    write_history_files(spark, sf_dir, root)
+    if not compact.compact(spark, root):
+        raise AssertionError("the half-year update is superseded")
+    return files.load_history(spark, root).select("symbol", "Date", "Close")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketframe.operators import features as wn
 from marketframe.plans.q_io import daily_dates
-from marketframe.plans.registry import DAILY, register, rounded, roll
+from marketframe.plans.registry import DAILY, ORACLE, register, rounded, roll
 from marketframe.session import checkpoint, scratch_dir
 from marketframe.sources import files
 from marketframe.spec import SeriesSpec
@@ -67,3 +67,20 @@ def late_corrections_daily(spark, sf_dir):
     changed = ingest.changed_since(before, after)
     out = ingest.recompute_from(after, changed, _features, lookback=5)
     return out.select("symbol", "Date", "Close", "ret", "ma_5")
+
+
+@register("ss02_recomputed_partitions_daily", ORACLE["ss02_late_corrections_daily"], covers=("SS-02", "SS-01"))
+def recomputed_partitions_daily(spark, sf_dir):
+    """The same corrections on a stored feature table: only the partitions from the change on are
+    rewritten, and only they and the look-back's are read."""
+    root = scratch_dir(spark, "late")
+    d, src, table, ck = _ingest_two_batches(spark, sf_dir, root)
+    before, features = checkpoint(spark.read.parquet(table)), f"{root}/features"
+    every = before.groupBy("symbol").agg(F.min("Date").alias("first_changed"))
+    ingest.recompute_partitions(spark, table, features, every, _features, 5)
+    fix = d.filter(F.col("Date") >= F.lit(CORRECTION_START)).withColumn("Close", F.col("Close") * 1.05)
+    files.write_range_partitions(fix, f"{src}/b3", F.lit(0))
+    ingest.run_ingest(spark, src, table, ck)
+    changed = ingest.changed_since(before, spark.read.parquet(table).select("symbol", "Date", "Close"))
+    ingest.recompute_partitions(spark, table, features, changed, _features, 5)
+    return spark.read.parquet(features).where(F.col("Date") >= F.lit(CORRECTION_START)).select("symbol", "Date", "Close", "ret", "ma_5")

@@ -98,3 +98,49 @@ def recompute_from(table: DataFrame, changed: DataFrame, feature_fn, lookback: i
     ctx = t.filter(F.col("__pos") >= F.col("__first") - lookback)
     out = feature_fn(ctx)
     return out.filter(F.col(order) >= F.col("first_changed")).drop("__pos", "__first", "first_changed")
+
+
+#: Partitions of a table that are pruned by a broadcast list; beyond that, by a join.
+LISTED = 100_000
+
+
+def needed_partitions(table: DataFrame, changed: DataFrame, lookback: int) -> DataFrame:
+    """SS-02: the ``(symbol, bucket_year)`` partitions that recomputing from ``first_changed`` reads: those of its year and after, and
+    as many years before as hold ``lookback`` rows, by the rows of each partition (footers of the changed series only)."""
+    # the comparison tells Spark that the list is worth pruning partitions by
+    since = changed.where(F.col("first_changed") >= F.lit("0001-01-01")).select("symbol", F.year("first_changed").alias("from_year"))
+    if changed.count() <= LISTED:
+        since = F.broadcast(since)
+    counts = table.join(since, "symbol").groupBy("symbol", "bucket_year", "from_year").agg(F.count(F.lit(1)).alias("rows"))
+    w = Window.partitionBy("symbol").orderBy(F.desc("bucket_year")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.when(F.col("bucket_year") < F.col("from_year"), F.col("rows")).otherwise(F.lit(0))
+    nearer = checkpoint(counts.withColumn("nearer", F.coalesce(F.sum(earlier).over(w), F.lit(0))))
+    return nearer.where((F.col("bucket_year") >= F.col("from_year")) | (F.col("nearer") < F.lit(lookback))).select("symbol", "bucket_year", "from_year")
+
+
+def recompute_partitions(spark: SparkSession, table: str, features: str, changed: DataFrame, feature_fn, lookback: int, columns: Sequence[str] = ("Close",)) -> None:
+    """SS-02 on tables partitioned by (symbol, year): features of the changed series from their first changed row on, into the table
+    ``features``. Reads the partitions of :func:`needed_partitions` and no others, and rewrites only those of the first changed year and
+    after; rows of that year before the change stay as they are. Repeating it gives the same table."""
+    changed = checkpoint(changed.select("symbol", "first_changed"))
+    history = spark.read.parquet(table)
+    need = needed_partitions(history, changed, lookback)
+    # a series is read from one year on; series of one such year are read together, so that partitions are pruned by year and by series
+    floors = checkpoint(need.groupBy("symbol").agg(F.min("bucket_year").alias("floor")))
+    small = floors.count() <= LISTED
+    context = None
+    for r in floors.select("floor").distinct().orderBy("floor").collect():  # at most one for each year
+        some = floors.where(F.col("floor") == r["floor"]).select("symbol")
+        part = history.where(F.col("bucket_year") >= r["floor"]).select("symbol", "Date", *columns).join(F.broadcast(some) if small else some, "symbol", "left_semi")
+        context = part if context is None else context.unionByName(part)
+    if context is None:
+        return
+    fresh = feature_fn(context).join(changed, "symbol").where(F.col("Date") >= F.col("first_changed")).drop("first_changed")
+    fresh = fresh.withColumn("bucket_year", F.year("Date"))
+    if _table_exists(spark, features):
+        kept = need.where(F.col("bucket_year") == F.col("from_year")).select("symbol", "bucket_year")
+        before = spark.read.parquet(features).join(F.broadcast(kept) if small else kept, ["symbol", "bucket_year"], "left_semi")
+        before = before.join(changed, "symbol").where(F.col("Date") < F.col("first_changed")).drop("first_changed")
+        fresh = fresh.unionByName(before)
+    fresh = checkpoint(fresh)  # the plan also reads partitions that it overwrites
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "bucket_year").parquet(features)
