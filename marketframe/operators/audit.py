@@ -155,9 +155,18 @@ def scaled_range(df: DataFrame, features: Sequence[str], by: Sequence[str] = ())
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """AU-09: required columns absent from the frame's schema (one row each)."""
+    return required_columns(df, required).filter(~F.col("present")).select("column", "present")
+
+
+def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """AU-09: each required column: whether the frame has it, and the rows that have a value in it; a column that is there but
+    empty is as useless as an absent one (``usable`` is false for both)."""
     have = set(df.columns)
-    rows = [(c, c in have) for c in required]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean").filter(~F.col("present"))
+    aggs = [F.struct(F.lit(c).alias("column"), F.lit(c in have).alias("present"), (F.count(c) if c in have else F.lit(0).cast("bigint")).alias("non_null")).alias(f"r{i}")
+            for i, c in enumerate(required)]
+    if not aggs:
+        return df.sparkSession.createDataFrame([], "column string, present boolean, non_null bigint, usable boolean")
+    return df.agg(F.count(F.lit(1)).alias("rows"), *aggs).select(F.inline(F.array(*[F.col(f"r{i}") for i in range(len(aggs))]))).withColumn("usable", F.col("non_null") > 0)
 
 
 def history_gate(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, backtest_rows: int = BACKTEST_MIN_ROWS,

@@ -81,6 +81,16 @@ def non_price_features(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in PRICE_COLUMNS]
 
 
+def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What a list of columns holds: ``(column, non_null, min, max, variance)``, one partial aggregate over the
+    listed columns only (the scan reads no others); no columns give no rows."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, non_null bigint, min double, max double, variance double")
+    aggs = [F.struct(F.lit(c).alias("column"), F.count(c).alias("non_null"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+                     F.var_samp(c).alias("variance")).alias(c) for c in columns]
+    return df.agg(*aggs).select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
+
+
 def truncate_before(df: DataFrame, cutoff, col: str = "ts") -> DataFrame:
     """PF-11: keep rows strictly before ``cutoff`` (a pushable filter)."""
     return df.filter(F.col(col) < F.lit(cutoff))

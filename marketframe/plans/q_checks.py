@@ -183,42 +183,61 @@ def file_profile_daily(spark, sf_dir):
 REQUIRED = ["close", "ret", "ma_50", "sentiment", "rsi_14", "macd"]
 
 
+PRESENT = [c for c in REQUIRED if c in ("close", "ret", "ma_50", "rsi_14")]
+
+
 @register("au09_missing_columns_bars",
-          f"""WITH {BAR_TRAIN_SQL}
-SELECT r.name AS column, false AS present, (SELECT count(*) FROM bt) AS rows
-FROM (SELECT unnest([{', '.join(f"'{c}'" for c in REQUIRED)}]) AS name) AS r
-WHERE r.name NOT IN ({', '.join(f"'{c}'" for c in ['close', 'ret', 'ma_50', 'rsi_14'])})""", covers=("AU-09",))
+          f"""WITH {BAR_TRAIN_SQL},
+c AS (SELECT {', '.join(f'count({c}) AS {c}' for c in PRESENT)} FROM bt)
+{' UNION ALL '.join(f"SELECT '{c}' AS column, {str(c in PRESENT).lower()} AS present, {f'(SELECT {c} FROM c)' if c in PRESENT else 'CAST(0 AS BIGINT)'} AS non_null, {f'(SELECT {c} > 0 FROM c)' if c in PRESENT else 'false'} AS usable" for c in REQUIRED)}""",
+          covers=("AU-09",))
 def missing_columns_bars(spark, sf_dir):
-    """Required columns that the training frame lacks, beside its size."""
-    t = bt(spark, sf_dir)
-    return audit.missing_columns(t, REQUIRED).crossJoin(t.agg(F.count(F.lit(1)).alias("rows")))
+    """Required columns of the training frame, absent ones included."""
+    return audit.required_columns(bt(spark, sf_dir), REQUIRED)
+
+
+def _profile_sql(columns) -> str:
+    one = "SELECT '{0}' AS column, count({0}) AS non_null, CAST(min({0}) AS DOUBLE) AS min, CAST(max({0}) AS DOUBLE) AS max, var_samp({0}) AS variance FROM bt"
+    return " UNION ALL ".join(one.format(c) for c in columns)
+
+
+META_SELECTED = ["ret", "ma_50", "rsi_14", "vol_ratio"]
+META_COLUMNS = ["open", "high", "low", "close", "volume", "ret", "ma_50", "rsi_14", "range_pct", "vol_ratio", "target", "ret_unscaled", "close_unscaled"]
 
 
 @register("fs07_feature_metadata_bars",
-          f"""WITH {BAR_TRAIN_SQL}
-SELECT 'ret' AS column, 'feature' AS role, true AS scaled, true AS selected, count(ret) AS non_null FROM bt
-UNION ALL SELECT 'target', 'label', false, false, count(target) FROM bt
-UNION ALL SELECT 'close_unscaled', 'unscaled', false, false, count(close_unscaled) FROM bt
-UNION ALL SELECT 'symbol', 'key', false, false, count(symbol) FROM bt
-UNION ALL SELECT 'ma_50', 'key', true, false, count(ma_50) FROM bt""", covers=("FS-07",))
+          rounded(f"""WITH {BAR_TRAIN_SQL},
+p AS ({_profile_sql(META_COLUMNS)})
+SELECT *, CASE WHEN "column" IN ({', '.join(f"'{c}'" for c in META_SELECTED)}) THEN 'feature' WHEN "column" = 'target' THEN 'label'
+               WHEN "column" LIKE '%_unscaled' THEN 'unscaled' ELSE 'key' END AS role,
+       "column" IN ({', '.join(f"'{c}'" for c in EXT)}) AS scaled, "column" IN ({', '.join(f"'{c}'" for c in META_SELECTED)}) AS selected FROM p""", ["min", "max", "variance"]),
+          covers=("FS-07",))
 def feature_metadata_bars(spark, sf_dir):
-    """Roles of the processed frame's columns, beside their non-null counts."""
-    t = bt(spark, sf_dir).select("ret", "target", "close_unscaled", "symbol", "ma_50")
-    meta = selection.feature_metadata(t, ["ret"], ["ret", "ma_50"]).select("column", "role", "scaled", "selected")
-    counts = t.agg(*[F.count(c).alias(c) for c in t.columns]).unpivot([], t.columns, "column", "non_null")
-    return meta.join(counts, "column")
+    """Roles of the processed frame's columns and what each of them holds."""
+    t = bt(spark, sf_dir).select(*META_COLUMNS)
+    meta = selection.feature_metadata(t, META_SELECTED, EXT).select("column", "role", "scaled", "selected")
+    return clean.column_profile(t, t.columns).join(F.broadcast(meta), "column")  # a row a column
+
+
+#: What the three rules choose of the training frame's columns, stated for the SQL.
+BY_RULE = {
+    "exclusion": ["open", "high", "low", "close", "volume", "ret", "ma_5", "ma_10", "ma_20", "ma_50", "ret_5d", "ret_20d", "lag_1", "lag_2", "lag_3", "lag_5", "rsi_14", "range",
+                  "range_pct", "true_range", "atr_14", "vol_5d", "vol_20d", "vol_ratio"],
+}
 
 
 @register("pf10_feature_lists_bars",
-          f"""WITH {BAR_TRAIN_SQL}
-SELECT feature, rule, (SELECT count(*) FROM bt) AS rows FROM (
-  SELECT unnest(['close', 'ma_50', 'open', 'ret', 'rsi_14']) AS feature, 'exclusion' AS rule
-  UNION ALL SELECT unnest(['ma_50', 'rsi_14']), 'pattern' UNION ALL SELECT unnest(['ma_50', 'ret', 'rsi_14']), 'no_price')""",
+          rounded(f"""WITH {BAR_TRAIN_SQL},
+p AS ({_profile_sql(BY_RULE['exclusion'])})
+SELECT 'exclusion' AS rule, * FROM p
+UNION ALL SELECT 'pattern', * FROM p WHERE regexp_matches("column", '(?i){'|'.join(clean.FEATURE_NAME_PATTERNS)}')
+UNION ALL SELECT 'no_price', * FROM p WHERE "column" NOT IN ('open', 'high', 'low', 'close')""", ["min", "max", "variance"]),
           covers=("PF-10",))
 def feature_lists_bars(spark, sf_dir):
-    """Feature columns of the training frame by the three naming rules."""
-    t = bt(spark, sf_dir).select("symbol", "ts", "seq", "split", "target", "ret_unscaled", "close", "ma_50", "open", "ret", "rsi_14")
+    """What the columns hold that each of the three naming rules chooses from the whole training frame."""
+    t = bt(spark, sf_dir)
     by_exclusion = clean.features_by_exclusion(t.columns)
     lists = {"exclusion": by_exclusion, "pattern": clean.features_by_pattern(t.columns), "no_price": clean.non_price_features(by_exclusion)}
-    names = spark.createDataFrame([(f, rule) for rule, fs in lists.items() for f in fs], "feature string, rule string")
-    return names.crossJoin(t.agg(F.count(F.lit(1)).alias("rows")))
+    profile = clean.column_profile(t, sorted({c for cs in lists.values() for c in cs}))
+    rules = F.filter(F.array(*[F.when(F.col("column").isin(cs), F.lit(rule)) for rule, cs in lists.items()]), lambda r: r.isNotNull())
+    return profile.select(F.explode(rules).alias("rule"), "*")
