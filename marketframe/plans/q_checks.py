@@ -11,7 +11,7 @@ from marketframe.plans.q_bars import BAR_FEATURES_SQL, BAR_TRAIN_SQL
 from marketframe.plans.q_io import CATALOG_SQL, HALF_YEAR_START, daily_dates, write_history_files
 from marketframe.plans.q_models import COEF_SQL, EXT, ONE, bt, one_feature_coefs
 from marketframe.plans.registry import DAILY, W, register, rounded
-from marketframe.session import scratch_dir
+from marketframe.session import checkpoint, scratch_dir
 from marketframe.sources import files, panels
 
 TAIL = 30
@@ -241,3 +241,45 @@ def feature_lists_bars(spark, sf_dir):
     profile = clean.column_profile(t, sorted({c for cs in lists.values() for c in cs}))
     rules = F.filter(F.array(*[F.when(F.col("column").isin(cs), F.lit(rule)) for rule, cs in lists.items()]), lambda r: r.isNotNull())
     return profile.select(F.explode(rules).alias("rule"), "*")
+
+
+@register("ag06_partial_autocorrelation_three_lags_bars",
+          rounded(f"""WITH {BAR_TRAIN_SQL},
+d AS (SELECT symbol, ts, seq, ret - avg(ret) OVER (PARTITION BY symbol) AS d FROM bt WHERE split = 'train'),
+l AS (SELECT symbol, d, lag(d, 1) OVER ({W}) AS l1, lag(d, 2) OVER ({W}) AS l2, lag(d, 3) OVER ({W}) AS l3 FROM d),
+r AS (SELECT symbol, sum(d * l1) / sum(d * d) AS r1, sum(d * l2) / sum(d * d) AS r2, sum(d * l3) / sum(d * d) AS r3 FROM l GROUP BY symbol),
+p AS (SELECT *, (r2 - r1 * r1) / (1 - r1 * r1) AS p2, r1 * (1 - (r2 - r1 * r1) / (1 - r1 * r1)) AS q1 FROM r)
+SELECT symbol, CAST(1 AS BIGINT) AS lag, r1 AS pacf FROM p UNION ALL SELECT symbol, 2, p2 FROM p
+UNION ALL SELECT symbol, 3, (r3 - q1 * r2 - p2 * r1) / (1 - q1 * r1 - p2 * r2) FROM p""", ["pacf"]), covers=("AG-06", "AG-05"))
+def partial_autocorrelation_three_lags_bars(spark, sf_dir):
+    """Three lags, of which SQL states the recursion's closed form."""
+    acf = stats.autocorrelation(bt(spark, sf_dir).filter(F.col("split") == "train"), "ret", 3)
+    return stats.partial_autocorrelation(acf)
+
+
+GREEDY = (("range_pct", "ma_50", "close"), ("vol_5d", "vol_20d", "atr_14"), ("close", "high", "open"))
+GREEDY_CORR = 0.3
+
+
+def _greedy_sql(i: int, names) -> str:
+    a, b, c = names
+    return f"""g{i} AS (SELECT symbol, abs(corr({a}, {b})) > {GREEDY_CORR} AS c12, abs(corr({a}, {c})) > {GREEDY_CORR} AS c13, abs(corr({b}, {c})) > {GREEDY_CORR} AS c23,
+  abs(corr({a}, target)) AS s1, abs(corr({b}, target)) AS s2, abs(corr({c}, target)) AS s3 FROM bt WHERE split = 'train' GROUP BY symbol),
+h{i} AS (SELECT *, NOT (c12 AND s1 <= s2) AS a1, NOT (c12 AND s1 > s2) AS a2 FROM g{i}),
+k{i} AS (SELECT symbol, {i} AS list, unnest(['{a}', '{b}', '{c}']) AS feature,
+  unnest([NOT (a1 AND NOT (c13 AND s1 <= s3)), NOT (a2 AND NOT (c23 AND s2 <= s3)), (a1 AND c13 AND s1 > s3) OR (a2 AND c23 AND s2 > s3)]) AS dropped FROM h{i})"""
+
+
+@register("fs06_greedy_prune_three_features_bars",
+          f"""WITH {BAR_TRAIN_SQL},
+{', '.join(_greedy_sql(i, names) for i, names in enumerate(GREEDY))}
+SELECT symbol, CAST(list AS BIGINT) AS list, feature, dropped FROM (SELECT * FROM k0 UNION ALL SELECT * FROM k1 UNION ALL SELECT * FROM k2)""", covers=("FS-06",))
+def greedy_prune_three_features_bars(spark, sf_dir):
+    """Three lists of three features, of which SQL states every way that the prune can go."""
+    t = checkpoint(bt(spark, sf_dir).filter(F.col("split") == "train"))
+    out = None
+    for i, names in enumerate(GREEDY):
+        pruned = selection.greedy_prune(stats.correlation_matrix(t, list(names), ["symbol"]), stats.target_correlation(t, list(names), "target", ["symbol"]), names, ["symbol"], GREEDY_CORR)
+        pruned = pruned.withColumn("list", F.lit(i))
+        out = pruned if out is None else out.unionByName(pruned)
+    return out.select("symbol", "list", "feature", "dropped")
