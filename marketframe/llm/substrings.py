@@ -16,18 +16,18 @@ Texts that occur twice are one text to all this (all their windows are repeated:
 once, by key, and that exchange is used three times; the anchors' rows are fixed-size, about one for ten words.
 
 Defined cases: a null text has no words; texts shorter than ``length`` lose nothing; repeated rows are repeated texts, whatever their ids. Windows are judged on the
-input. Extra columns are ignored. An empty table gives an empty result. Words, windows and texts are compared by 64-bit hashes.
+input. Extra columns are ignored. An empty table gives an empty result. Words and windows are compared by 64-bit hashes, texts by 128 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.llm.automaton import SuffixAutomaton
@@ -298,10 +298,21 @@ def match_shard(t: pa.Table, length: int) -> pa.Table:
     return pa.table({"key": pa.array(a, pa.int64()), "start": pa.array(b, pa.int32()), "end": pa.array(c, pa.int32())})
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 35, docs_per_shard: int = 1000) -> DataFrame:
+def with_keys(texts: DataFrame, key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
+    """``texts`` with the ``key`` of each text. Texts that share a key but not a second, independent hash get keys of their own; where there are none such,
+    which is as good as always, nothing but the hashes is shuffled."""
+    rows = texts.withColumn("key", key("text")).withColumn("second", F.xxhash64(F.lit(1), "text"))
+    clash = rows.groupBy("key").agg(F.min("second").alias("first"), F.max("second").alias("most")).where(F.col("first") != F.col("most")).select("key", "first")
+    if not clash.isEmpty():
+        rows = rows.join(clash, "key", "left")
+        rows = rows.withColumn("key", F.when(F.col("first").isNull() | (F.col("first") == F.col("second")), F.col("key")).otherwise(F.xxhash64("second", "key")))
+    return rows.select("id", "key", "text")
+
+
+def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 35, docs_per_shard: int = 1000, key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
     """Per document: id, n_words, n_removed and kept (the words that stay, joined by one space)."""
     shards = max(64, docs.count() // docs_per_shard)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = with_keys(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), key)
     texts = rows.repartition("key")  # one exchange for the three times the texts are needed
     anchors = repeated_anchors(rows.select("key", "text"), length)
     runs = owned_windows(texts.join(anchors, "key").select("key", "text", "places"), length)

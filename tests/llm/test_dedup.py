@@ -10,6 +10,8 @@ import pytest
 from marketframe.llm.components import components
 from marketframe.llm.jaccard import _again, jaccard_groups, keep_one, may_link
 from marketframe.llm.lines import line_dedup
+from pyspark.sql import functions as F
+
 from marketframe.llm.substrings import substring_dedup
 from tests.llm.data import WORD, documents, folded, frame
 
@@ -29,6 +31,12 @@ def test_substring_dedup(spark, length):
     assert got == sorted(removed(documents(), length), key=repr)
 
 
+def test_texts_that_share_a_key_are_not_lost(spark):
+    short = lambda text: F.xxhash64(text) % 5
+    got, want = (sorted(map(tuple, substring_dedup(frame(spark), **how).collect()), key=repr) for how in ({"key": short}, {}))
+    assert got == want
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup(frame(spark, [])).count() == 0
     assert substring_dedup(frame(spark, [(1, None, None)])).collect()[0][1:] == (0, 0, "")
