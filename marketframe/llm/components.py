@@ -22,6 +22,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Takes a scratch table that nothing reads any more out of the shared folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every end of a link (columns x, y): root is the component's smallest node.
 

@@ -1,7 +1,9 @@
 """Benchmark decontamination by a generalised suffix automaton of the normalised test items.
 
-The items are read in blocks of at most ``block_words`` words; each block's word hashes are broadcast (so what is
-broadcast has that bound, whatever the size of the benchmark) and every Python worker builds the block's automaton
+Spark jobs hash the items' words and pack them into blocks of at most ``block_words`` words (a longer item comes in pieces that
+share ``window - 1`` words, so no window is lost), written to the shared folder by number. The driver lists the numbers and
+hands one block after the other to a broadcast, so what it holds and what one broadcast has are bounded, whatever the size of the
+benchmark; the tables go once the blocks are broadcast. Every Python worker builds a block's automaton
 once. Documents stream through: words that no item has reset the match, so only runs of item words step
 through the automaton, which tracks the longest matching length. Blocks are passes chained over the same rows; there
 is no shuffle, and the texts are never moved.
@@ -20,11 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.llm.automaton import SuffixAutomaton
+from marketframe.llm.components import remove
 from marketframe.llm.words import Words, pieces, spans_of
+from marketframe.session import scratch_dir
 
 KIND = "alnum_lower"
 _built: dict = {}
@@ -95,27 +100,62 @@ class ItemIndex:
         return spans, names
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, list[int]]]]:
-    """The items' word hashes, in blocks; one row at a time comes to the driver."""
-    block, size = [], 0
-    for r in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        words = [int(h) for _, w in pieces(pa.array([r.t], pa.string()), KIND) for h in w.hash]
-        if not words:
-            continue
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((r.i, words))
-        size += len(words)
-    if block:
-        yield block
+def item_words(benchmark: DataFrame, id_col: str, text_col: str, window: int, size: int) -> DataFrame:
+    """``item, n, words`` (64-bit hashes) of the items that have words; of a longer item, pieces of ``size`` words that share
+    ``window - 1``, so that each of its windows lies in one."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, rows = batch.column("item").to_pylist(), []
+            for first, w in pieces(batch.column("text"), KIND):
+                for d in range(len(w.doc) - 1):
+                    words = w.hash[w.doc[d] : w.doc[d + 1]]
+                    for at in range(0, max(min(1, len(words)), len(words) - window + 1), size - window + 1):
+                        part = words[at : at + size]
+                        rows.append((names[first + d], len(part), part.tobytes()))
+            item, n, words = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_pydict({"item": pa.array(item, pa.string()), "n": pa.array(n, pa.int32()), "words": pa.array(words, pa.binary())})
+
+    return benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).mapInArrow(step, "item string, n int, words binary")
+
+
+def packed(items: DataFrame, size: int) -> DataFrame:
+    """``items`` with the number of the ``block`` each is in: a task fills one block of at most ``size`` words after the other."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, words = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            block = []
+            for n in batch.column("n").to_pylist():
+                if words and words + n > size:
+                    number, words = number + 1, 0
+                words += n
+                block.append(number)
+            yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("words"), pa.array(block, pa.int64())], names=["item", "words", "block"])
+
+    return items.mapInArrow(step, "item string, words binary, block bigint")
+
+
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The items' word hashes, a block at a time."""
+    spark, size = benchmark.sparkSession, max(block_words, window)
+    folder = scratch_dir(spark, "items")
+    item_words(benchmark, id_col, text_col, window, size).write.parquet(f"{folder}/items")
+    items = spark.read.schema("item string, n int, words binary").parquet(f"{folder}/items")
+    total = items.agg(F.sum("n")).first()[0] or 0
+    packed(items.coalesce(max(1, -(-total // size))), size).write.partitionBy("block").parquet(f"{folder}/blocks")
+    if total:
+        table = spark.read.schema("item string, words binary, block bigint").parquet(f"{folder}/blocks")
+        for number in sorted(r.block for r in table.select("block").distinct().collect()):
+            yield [(r.item, bytes(r.words)) for r in table.where(F.col("block") == number).collect()]
+    remove(spark, folder)
 
 
 def _index(key: str, bc, window: int) -> ItemIndex:
     """A worker's automaton of a block; kept until it works on another block."""
     if key not in _built:
         _built.clear()
-        _built[key] = ItemIndex(bc.value, window)
+        _built[key] = ItemIndex([(item, np.frombuffer(words, np.uint64).tolist()) for item, words in bc.value], window)
     return _built[key]
 
 
@@ -156,7 +196,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text",
     sc = docs.sparkSession.sparkContext
     out = docs.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.array().cast("array<array<long>>"), "hit_items": F.array().cast("array<string>")})
     schema = out.schema
-    parts = [sc.broadcast(b) for b in blocks(benchmark, item_id, item_text, block_words)] or [sc.broadcast([])]
+    parts = [sc.broadcast(b) for b in blocks(benchmark, item_id, item_text, window, block_words)] or [sc.broadcast([])]
 
     def one(bc):
         key = uuid.uuid4().hex

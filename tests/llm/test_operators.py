@@ -49,6 +49,18 @@ def test_decontamination(spark, block_words):
     assert any(w[5] for w in want) and any(w[2] and not w[5] for w in want)
 
 
+def test_items_come_in_bounded_blocks_and_their_tables_go(spark):
+    import os
+
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    items = spark.createDataFrame([*ITEMS, (11, prose(60, 2500))], "item_id int, text string").repartition(4)
+    got = list(decontaminate.blocks(items, "item_id", "text", 13, 40))
+    assert len(got) > 50 and all(sum(len(w) for _, w in block) <= 40 * 8 for block in got)
+    assert {i for block in got for i, _ in block} == {str(i) if i else None for i, t in ITEMS if ALNUM.findall(folded(t or ""))} | {"11"}
+    assert list(decontaminate.blocks(items.limit(0), "item_id", "text", 13, 40)) == []
+    assert not [f for f in os.listdir(shared) if f.startswith("marketframe-items-")]
+
+
 def test_decontaminate_drops_or_cuts(spark):
     items = spark.createDataFrame([(1, prose(2, 60))], "item_id int, text string")
     rows = [(1, "keep, " + prose(2, 60) + "  and this", "a"), (2, prose(5, 30), "a"), (3, None, "a"), (4, prose(6, 900) + "\n" + prose(2, 20) + " end", "a")]
