@@ -60,23 +60,23 @@ def backtest(frame: DataFrame, features: Sequence[str], coefs: DataFrame, spec:
     the slice times ``1 + forecast`` (first row: its own close).
     Returns ``rows`` (per-row predictions) and ``metrics`` (per series)."""
     serving = frame.na.drop(subset=list(features))
-    counted = serving.withColumn("__cnt", F.count(F.lit(1)).over(spec.whole()))
-    eligible = counted.filter(F.col("__cnt") >= min_history).drop("__cnt")
-    tail = rows.last_n(eligible, n, spec).withColumn("__raw_close", F.col("close"))
+    # place and count in the order that the features were built in: one shuffle, one sort for all windows
+    placed = serving.withColumns({"__pos": F.row_number().over(spec.window()), "__cnt": F.count(F.lit(1)).over(spec.whole())})
+    tail = placed.filter((F.col("__cnt") >= min_history) & (F.col("__pos") > F.col("__cnt") - n)).drop("__pos", "__cnt")
+    tail = tail.withColumn("__raw_close", F.col("close"))
     scored_in = scale.transform_minmax(tail, features, scaler=scaler, keys=spec.keys) if scaler is not None else tail
     scored = linear.score_linear(scored_in, coefs, features, spec.keys).withColumn("close", F.col("__raw_close"))
     actual = F.col("target") if aligned else F.col("ret")
     scored = scored.withColumn("actual", actual)
     scored = wn.projected_price(scored, "pred", spec)
-    valid = scored.filter(F.col("actual").isNotNull() & F.col("pred").isNotNull())
-    a, p = F.col("actual"), F.col("pred")
+    valid = F.col("actual").isNotNull() & F.col("pred").isNotNull()
+    a, p = F.when(valid, F.col("actual")), F.when(valid, F.col("pred"))
     err = F.abs(F.col("close") - F.col("pred_price"))
-    met = valid.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias("n"), M.rmse(a, p).alias("rmse"), M.mae(a, p).alias("mae"),
-        M.directional_accuracy(a, p).alias("directional_accuracy"))
-    price = scored.groupBy(*spec.keys).agg(F.avg(err).alias("price_mae"),
-                                           (F.avg(err) * F.lit(ev.PIPS_PER_UNIT)).alias("mae_pips"))
-    return {"rows": scored, "metrics": met.join(price, list(spec.keys), "left")}
+    met = scored.groupBy(*spec.keys).agg(
+        F.count_if(valid).alias("n"), M.rmse(a, p).alias("rmse"), M.mae(a, p).alias("mae"),
+        M.directional_accuracy(a, p).alias("directional_accuracy"), F.avg(err).alias("price_mae"),
+        (F.avg(err) * F.lit(ev.PIPS_PER_UNIT)).alias("mae_pips"))
+    return {"rows": scored, "metrics": met.filter(F.col("n") > 0)}
 
 
 def score_sequences(windows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray], window_col: str = "window",

@@ -191,6 +191,18 @@ def repoint_aliases(aliases: DataFrame, new_versions: DataFrame, group: Sequence
     return dedupe_keep_last(old.unionByName(new), [*group, "name", "alias"], ("_prec",)).drop("_prec")
 
 
+def repoint_retrained(aliases: DataFrame, versions: DataFrame, group: Sequence[str] = (), n: int = 3) -> DataFrame:
+    """RG-12 in one pass over each table: the first name (ascending) behind each of the first ``n`` aliases is retrained, and
+    its alias moves to ``max(version) + 1`` of that name; all other rows stay. The same table as :func:`top_by_alias`,
+    :func:`register_next` and :func:`repoint_aliases` in turn."""
+    names = [*ALIAS_ORDER, *[f"rank_{i}" for i in range(len(ALIAS_ORDER) + 1, n + 1)]][:n]
+    place = F.row_number().over(Window.partitionBy(*group, "alias").orderBy("name"))
+    top = versions.groupBy(*group, "name").agg((F.max("version") + 1).alias("__next"))
+    d = aliases.withColumn("__first", (place == 1) & F.col("alias").isin(names)).join(top, [*group, "name"], "left")
+    version = F.when(F.col("__first"), F.coalesce("__next", "version")).otherwise(F.col("version"))
+    return d.select(*group, "name", "alias", version.alias("version"))
+
+
 def retrain_summary(old: DataFrame, new: DataFrame, group: Sequence[str] = (), by: str = "rmse") -> DataFrame:
     """RG-13: old vs new metric per retrained model (``(group..., name, version, rmse)``
     on both sides) and the change."""

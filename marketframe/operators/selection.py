@@ -3,8 +3,8 @@
 Inputs are the long correlation tables of :mod:`marketframe.operators.stats`
 (``target_correlation`` and ``correlation_matrix``), which have at most k and
 k(k-1)/2 rows per group. The relational prune (FS-05) is plain joins on those
-small tables; the order-dependent greedy prune (FS-06) runs per group in pandas
-over at most k² rows.
+small tables, or expressions on one Gram row per group, which holds both; the
+order-dependent greedy prune (FS-06) runs per group in pandas over at most k² rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,47 @@ def redundancy_prune(cands: DataFrame, corr_matrix: DataFrame, by: Sequence[str]
     return cands.join(dropped, [*by, "feature"], "left_anti")
 
 
+def pruned(gram: DataFrame, features: Sequence[str], by: Sequence[str] = (), must_keep: Sequence[str] = MUST_KEEP,
+           threshold: float = TARGET_CORR_MIN, redundant: float = REDUNDANT_CORR) -> DataFrame:
+    """FS-04 and FS-05 from one Gram row per group (``linear.gram`` of ``features`` and the target, complete rows): the candidates
+    that :func:`redundancy_prune` would keep, as ``(by..., feature, ord, must_keep, abs_corr)``. Both tables of
+    correlations stand in the Gram, so the rule is expressions on its row: no join, no further pass or shuffle."""
+    feats = list(features)
+    m = len(feats) + 1
+    start = [i * m - i * (i - 1) // 2 for i in range(m)]  # of row i in the upper triangle
+
+    def corr(i, j, ij) -> Column:
+        den = F.sqrt(F.get("cm", i) * F.get("cm", j))
+        return F.abs(F.when(den > 0, F.get("cm", ij) / den))
+
+    last = F.lit(start[m - 1])
+    one = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(i).alias("ord"), F.lit(f in set(must_keep)).alias("must_keep"),
+                             F.lit(start[i]).alias("ii"), F.lit(start[i] + m - 1 - i).alias("it")) for i, f in enumerate(feats)])
+    scored = F.transform(one, lambda f: F.struct(f["feature"].alias("feature"), f["ord"].alias("ord"), f["must_keep"].alias("must_keep"),
+                                                 corr(f["ii"], last, f["it"]).alias("abs_corr")))
+    two = [(i, j) for i in range(m - 1) for j in range(i + 1, m - 1)]
+    pairs = F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), F.lit(start[i]).alias("ii"), F.lit(start[j]).alias("jj"),
+                               F.lit(start[i] + j - i).alias("ij")) for i, j in two]) if two else \
+        F.array().cast("array<struct<a:int,b:int,ii:int,jj:int,ij:int>>")
+
+    def side(x) -> Column:
+        return F.get("scored", x)
+
+    def taking_part(x) -> Column:
+        return side(x)["must_keep"] | F.coalesce(side(x)["abs_corr"] > F.lit(threshold), F.lit(False))
+
+    def loser(p) -> Column:
+        return F.when(side(p["a"])["abs_corr"] < side(p["b"])["abs_corr"], p["a"]).otherwise(p["b"])
+
+    def drops(p) -> Column:
+        return taking_part(p["a"]) & taking_part(p["b"]) & (corr(p["ii"], p["jj"], p["ij"]) > F.lit(redundant)) & ~side(loser(p))["must_keep"]
+
+    rows = gram.withColumn("scored", scored)
+    rows = rows.withColumn("dropped", F.transform(F.filter(pairs, drops), loser))
+    kept = F.filter("scored", lambda f: (f["must_keep"] | (f["abs_corr"] > F.lit(threshold))) & ~F.array_contains("dropped", f["ord"]))
+    return rows.select(*by, F.inline(kept))
+
+
 def surviving(corr: np.ndarray, score: np.ndarray, threshold: float) -> np.ndarray:
     """FS-06's rule on one group: which features stay.
 

@@ -251,10 +251,6 @@ u AS (SELECT experiment, name, alias, version, 0 AS p FROM aliases UNION ALL SEL
 SELECT experiment, name, alias, arg_max(version, p) AS version FROM u GROUP BY experiment, name, alias""",
           covers=("RG-12",))
 def repoint_aliases_ticks(spark, sf_dir):
-    r = checkpoint(tick_runs(spark, sf_dir))  # one small row per run, used many times below
-    v = tick_versions(r)
-    al = tick_aliases(r, v)
-    picked = rg.top_by_alias(al, v, G).select("experiment", "name", "alias")
-    new_runs = picked.select("experiment", "name", F.concat(F.lit("retrain_"), F.col("name")).alias("run_id"))
-    nv = rg.register_next(v, picked, new_runs, G)
-    return rg.repoint_aliases(al, nv, G).select("experiment", "name", "alias", "version")
+    r = checkpoint(tick_runs(spark, sf_dir))  # one small row per run, used by versions and ranking
+    v = checkpoint(tick_versions(r))
+    return rg.repoint_retrained(tick_aliases(r, v), v, G)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketframe.operators import audit, evaluate as ev, features as wn, rows, selection, stats
+from marketframe.operators import audit, evaluate as ev, features as wn, linear, rows, selection, stats
 from marketframe.plans import train
 from marketframe.plans.q_bars import BAR_FEATURES_SQL, BAR_TRAIN_SQL, PRED_SQL, _FULL_SQL, bar_predictions
-from marketframe.session import checkpoint
 from marketframe.plans.registry import DAILY, TICKS, W, register, rounded
 from marketframe.sources import panels
 from marketframe.spec import DEFAULT_SPEC
@@ -315,11 +314,7 @@ SELECT symbol, feature, CAST(ord AS BIGINT) AS ord, mk AS must_keep, s AS abs_co
 WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.symbol = cand.symbol AND d.feature = cand.feature)""", ["abs_corr"]),
           covers=("FS-05",))
 def redundancy_prune_bars(spark, sf_dir):
-    # the frame feeds both tables and the small score table three joins: each is computed once
-    t = checkpoint(train_bars(spark, sf_dir))
-    scores = checkpoint(stats.target_correlation(t, EXT, "target", ["symbol"]))
-    c = selection.candidates(scores, EXT, ["symbol"])
-    return selection.redundancy_prune(c, stats.correlation_matrix(t, EXT, ["symbol"], complete=True), ["symbol"])
+    return selection.pruned(linear.gram(train_bars(spark, sf_dir), EXT, "target", ["symbol"]), EXT, ["symbol"])
 
 
 @register("fs06_greedy_prune_bars", covers=("FS-06",))

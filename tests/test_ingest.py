@@ -132,3 +132,18 @@ print("ROWS", e.queries()["ml02_ridge_bars" if "ml02_ridge_bars" in e.queries()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+def test_repointing_in_one_pass_equals_the_three_steps(spark):
+    from pyspark.sql import functions as F
+
+    from marketframe.operators import runs as rg
+
+    versions = spark.createDataFrame([("x", n, v, f"{n}{v}") for n, k in (("m1", 3), ("m2", 1), ("m3", 2)) for v in range(1, k + 1)] + [("y", "m1", 1, "r")], "g string, name string, version bigint, run_id string")
+    aliases = spark.createDataFrame([("x", "m1", "champion", 2), ("x", "m2", "champion", 1), ("x", "m1", "challenger", 3), ("x", "m3", "candidate", 1), ("x", "m2", "rank_4", 1), ("x", "gone", "rank_5", 4), ("y", "m1", "champion", 1), ("y", "lost", "challenger", 7)], "g string, name string, alias string, version bigint")
+    for n in (1, 3, 4):
+        picked = rg.top_by_alias(aliases, versions, ["g"], n).select("g", "name", "alias")
+        new = rg.register_next(versions, picked, picked.select("g", "name").distinct().withColumn("run_id", F.lit("new")), ["g"])
+        want = rg.repoint_aliases(aliases, new, ["g"]).select("g", "name", "alias", "version")
+        got = rg.repoint_retrained(aliases, versions, ["g"], n)
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())

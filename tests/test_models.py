@@ -177,3 +177,44 @@ def test_sequences_shape(spark):
     t = train.bar_training_frame(spark, SMALL)
     w = wn.sequences(t, ["ret", "rsi_14"], 4).first().window
     assert len(w) == 4 and all(len(step) == 2 for step in w)
+
+
+def test_prune_from_one_gram_equals_the_joins(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for g in range(6):
+        base = rng.normal(size=(80, 4))
+        for x in base:
+            near = x[0] + 0.05 * rng.normal()
+            rows.append((g, *map(float, (x[0], near, x[1], x[1], 1.0 if g == 2 else x[2], -x[2] + 0.01 * rng.normal(), x[0] + x[1] + 0.3 * x[3]))))
+    feats = ["a", "b", "c", "d", "e", "f"]
+    df = spark.createDataFrame(rows, ["symbol", *feats, "target"])
+    for keep in ([], ["b"], ["a", "b", "c"], feats):
+        scores = stats.target_correlation(df, feats, "target", ["symbol"])
+        want = selection.redundancy_prune(selection.candidates(scores, feats, ["symbol"], keep), stats.correlation_matrix(df, feats, ["symbol"], complete=True), ["symbol"])
+        got = selection.pruned(linear.gram(df, feats, "target", ["symbol"]), feats, ["symbol"], keep)
+        assert got.columns == want.columns
+        a, b = (sorted((r.symbol, r.feature, r.ord, r.must_keep, None if r.abs_corr is None else round(r.abs_corr, 9)) for r in d.collect()) for d in (got, want))
+        assert a == b and len(a) > 6
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    one = selection.pruned(linear.gram(df, ["a"], "target", ()), ["a"], (), [])
+    assert [(r.feature, r.ord) for r in one.collect()] == [("a", 0)]
+
+
+def test_backtest_metrics_in_one_aggregate(spark):
+    from marketframe.operators import forecast
+
+    t = train.bar_features(spark, SMALL)
+    coefs = linear.fit_linear(train.bar_training_frame(spark, SMALL).filter(F.col("split") == "train"), ["ret"], "target")
+    out = forecast.backtest(t, ["ret"], coefs, n=30)
+    rows, met = out["rows"].toPandas(), out["metrics"].toPandas().set_index("symbol")
+    last = t.where("ret is not null").toPandas().sort_values(["symbol", "ts", "seq"]).groupby("symbol").tail(30)
+    assert sorted(zip(rows.symbol, rows.ts, rows.seq)) == sorted(zip(last.symbol, last.ts, last.seq)) and len(met) == last.symbol.nunique()
+    for sym, g in rows.groupby("symbol"):
+        ok = g.dropna(subset=["actual", "pred"])
+        assert met.n[sym] == len(ok) < len(g)  # the latest row has no next return
+        assert np.isclose(met.rmse[sym], np.sqrt(((ok.actual - ok.pred) ** 2).mean()), rtol=1e-9)
+        assert np.isclose(met.directional_accuracy[sym], (np.sign(ok.actual) == np.sign(ok.pred)).mean())
+        assert np.isclose(met.price_mae[sym], (g.close - g.pred_price).abs().mean(), rtol=1e-9)
+    assert forecast.backtest(t, ["ret"], coefs, min_history=10**6)["metrics"].count() == 0
