@@ -1,22 +1,23 @@
 """Substring dedup: words covered by a window of ``length`` words that also starts anywhere else are removed.
 
-Suffix automata of reference shards decide; documents are streamed through them for matching statistics, and spans of at least ``length`` matching
-words are removed. One automaton of a whole corpus, or every document against every shard, would not scale, so the
-reference holds what can repeat only, and documents meet only the shards that hold their candidates:
+Suffix automata of reference shards decide: documents are streamed through them for matching statistics, and spans of at least ``length`` words that
+match elsewhere are removed. One automaton of a whole corpus, or every document against every shard, would not scale, so anchors say which
+passages of which documents meet which shard, and nothing more:
 
 1. Anchors. Of every window, the 17-word gram of the smallest hash (a minimizer) is its anchor; equal windows have equal anchors at equal places. Anchors
    are dealt out by hash, and those that occur once drop out, and with them all their windows.
-2. Owners. The windows of the other anchors are compared by hash among the anchor's occurrences; a repeated window's first occurrence (by text key and place) owns it.
-   Owned windows, joined to passages, are the reference: every repeated content once.
-3. Shards. Passages are dealt to shards by owner. A shard's automaton is built from its passages in the task that streams the
-   documents' candidate passages for it. Passages with many occurrences are broadcast: replicated over ``SALTS`` copies of their shard, among which the documents are dealt.
-4. Removal. Spans where the matching statistic reaches ``length`` go back to the texts by key, with the owners' own.
+2. Passages. The windows of one anchor's occurrence follow each other; the words they cover are its passage. Passages are dealt to shards by anchor, so all that can
+   match a window meets it in one shard, and each window of a text is in one passage. Equal passages of a task send their words once, the rest as fixed-size rows.
+3. Shards. A shard's distinct passages are its reference; those that are part of others add nothing to its automaton. All are streamed through it: the state where
+   the statistic reaches ``length`` tells the window, and its occurrences are counted there. Windows with two or more are the spans to remove.
+   A shard is a run of whole anchors of about ``SHARD`` passages. Of one anchor a task holds the distinct passages; its occurrences stream by.
+4. Removal. The spans go back to the texts by key.
 
 Texts that occur twice are one text to all this (all their windows are repeated: they are removed whole if they have ``length`` words). The texts are shuffled
 once, by key, and that exchange is used three times; the anchors' rows are fixed-size, about one for ten words.
 
 Defined cases: a null text has no words; texts shorter than ``length`` lose nothing; repeated rows are repeated texts, whatever their ids. Windows are judged on the
-input. Extra columns are ignored. An empty table gives an empty result. Words and windows are compared by 64-bit hashes, texts by 128 bits.
+input. Extra columns are ignored. An empty table gives an empty result. Words are compared by 64-bit hashes, passages and texts by 128 bits.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +34,8 @@ from marketframe.llm.automaton import SuffixAutomaton
 from marketframe.llm.words import Words, pieces
 
 KIND = "space"
-SALTS = 16
-#: Occurrences of an anchor from which its passages are broadcast.
-HOT = 1000
-#: Words of an owner that go to one shard at most.
-PART = 1 << 16
+#: Distinct passages from which a shard is full.
+SHARD = 2000
 
 
 def _gram(length: int) -> int:
@@ -132,89 +129,71 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(several, "key bigint, place int").groupBy("key").agg(F.collect_set("place").alias("places"))
 
 
-def owned_windows(candidates: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated windows: ``key, start, count, owner, at`` (the owner's key and first window) and ``hot``, of texts with
-    places of repeated anchors (key, text, places)."""
+def passages(candidates: DataFrame, length: int) -> DataFrame:
+    """``token, copy, pid, key, start, n, words``: the passages of repeated anchors of texts with their places (key, text, places). The first of the equal
+    passages of a piece (copy is false) tells their number n, and has the words if its task has not sent them yet."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             keys, places = batch.column("key").to_numpy(), batch.column("places")
             for first, w in pieces(batch.column("text"), KIND):
-                a, windows = Anchors(w, length), w.grams(length).view(np.int64)
-                wanted = np.zeros(len(w), bool)
+                a, wanted = Anchors(w, length), np.zeros(len(w), bool)
                 for d in range(len(w.doc) - 1):
                     if (k := int(keys[first + d])) not in seen:
                         seen.add(k)
                         wanted[w.doc[d] + np.asarray(places[first + d].values)] = True
                 use = np.flatnonzero(wanted[a.place]) if len(a.place) else a.place
-                row = np.repeat(np.arange(len(use)), a.count[use])
-                token, key = a.token[use], keys[first + a.owner[use]]
-                at = _ranges(np.arange(len(w)), a.first[use], a.count[use])
-                window, place = windows[at], at - w.doc[a.owner[use]][row]
-                # as above: repeats within the piece are decided here, the first of them takes part in the rest
-                head, often = _first(token[row], window, key[row], place)
-                known, alone = np.flatnonzero(often > 1), np.flatnonzero(head == np.arange(len(row)))
-                yield _runs(key[row[known]], place[known], key[row[head[known]]], place[head[known]], np.zeros(len(known), bool), final=True)
-                new = np.concatenate([[True], (row[alone][1:] != row[alone][:-1]) | (place[alone][1:] != place[alone][:-1] + 1)]) if len(alone) else np.zeros(0, bool)
-                s = np.flatnonzero(new)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(s, len(alone)).astype(np.int32)), pa.array(window[alone]))
-                n = len(s)
+                begin = a.first[use]
+                end = begin + a.count[use] + length - 1
+                token, key, pid = a.token[use], keys[first + a.owner[use]], w.range_hash(begin, end).view(np.int64)
+                order = np.lexsort((begin, pid, token))
+                new = _changes(token[order], pid[order])
+                n = np.zeros(len(use), np.int32)
+                n[order[new]] = np.diff(np.append(np.flatnonzero(new), len(use)))
+                words: list[bytes | None] = [None] * len(use)
+                if len(sent) > SENT:
+                    sent.clear()
+                for i in np.flatnonzero(n).tolist():
+                    if (name := (int(token[i]), int(pid[i]))) not in sent:
+                        sent.add(name)
+                        words[i] = w.data[int(w.start[begin[i]]) : int(w.end[end[i] - 1])].tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(token[row[alone[s]]]), pa.array(token[row[alone[s]]]), pa.array(key[row[alone[s]]]), pa.array(place[alone[s]].astype(np.int32)), pa.array(np.zeros(n, np.int32)),
-                    pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool)), lists,
-                ], schema=_RUN)
+                    pa.array(token), pa.array(n == 0), pa.array(pid), pa.array(key), pa.array((begin - w.doc[a.owner[use]]).astype(np.int32)), pa.array(n), pa.array(words, pa.binary()),
+                ], names=["token", "copy", "pid", "key", "start", "n", "words"])
 
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "start", "count", "owner", "at", "hot"]
-        for t in _groups(batches):
-            final = pa.compute.equal(t.column("final"), True)
-            yield from t.filter(final).select(names).to_batches()
-            t = t.filter(pa.compute.invert(final))
-            token, key, start = (t.column(c).to_numpy() for c in ("token", "key", "start"))
-            if not len(token):
-                continue
-            again = np.concatenate([[False], (token[1:] == token[:-1]) & (key[1:] == key[:-1]) & (start[1:] == start[:-1])])
-            t, token, key, start = t.filter(pa.array(~again)), token[~again], key[~again], start[~again]
-            lists = t.column("windows").combine_chunks()
-            count = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(token)), count)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + start[row]
-            head, often = _first(token[row], lists.flatten().to_numpy(), key[row], place)
-            use = np.flatnonzero(often > 1)
-            yield _runs(key[row[use]], place[use], key[row[head[use]]], place[head[use]], often[use] >= HOT).select(names)
-
-    dealt = candidates.mapInArrow(emit, "part bigint, token bigint, key bigint, start int, count int, owner bigint, at int, hot boolean, final boolean, windows array<bigint>").repartition("part").sortWithinPartitions("token", "key", "start")
-    return dealt.mapInArrow(own, "key bigint, start int, count int, owner bigint, at int, hot boolean")
-
-
-_RUN = pa.schema([("part", pa.int64()), ("token", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("owner", pa.int64()), ("at", pa.int32()), ("hot", pa.bool_()), ("final", pa.bool_()), ("windows", pa.list_(pa.int64()))])
-
-
-def _first(token, window, key, place) -> tuple[np.ndarray, np.ndarray]:
-    """For each window: where its first occurrence by (key, place) stands, and how many there are."""
-    order = np.lexsort((place, key, window, token))
-    t, w = token[order], window[order]
-    new = np.concatenate([[True], (w[1:] != w[:-1]) | (t[1:] != t[:-1])]) if len(w) else np.zeros(0, bool)
-    start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(new)))
-    head, often = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-    head[order], often[order] = np.repeat(order[start], size), np.repeat(size, size)
-    return head, often
-
-
-def _runs(key, place, owner, at, hot, final: bool = False) -> pa.RecordBatch:
-    """Windows as runs that follow each other in the text and are of one owner; their order is that of key and place."""
-    order = np.lexsort((place, key))
-    key, place, owner, at, hot = key[order], place[order], owner[order], at[order], hot[order]
-    mine = (owner == key) & (at == place)
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (hot[1:] != hot[:-1]) | (mine[1:] != mine[:-1]) | (at[1:] // PART != at[:-1] // PART)]) if len(key) else np.zeros(0, bool)
-    s = np.flatnonzero(new)
-    n = len(s)
-    return pa.RecordBatch.from_arrays([
-        pa.array(key[s]), pa.array(np.zeros(n, np.int64)), pa.array(key[s]), pa.array(place[s].astype(np.int32)), pa.array(np.diff(np.append(s, len(key))).astype(np.int32)),
-        pa.array(owner[s]), pa.array(at[s].astype(np.int32)), pa.array(hot[s]), pa.array(np.full(n, final)), pa.array([[]] * n, pa.list_(pa.int64())),
-    ], schema=_RUN)
+    return candidates.mapInArrow(emit, "token bigint, copy boolean, pid bigint, key bigint, start int, n int, words binary")
+
+
+#: Names of passages that a task remembers to have sent.
+SENT = 200_000
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def _whole(batches: Iterator[pa.RecordBatch], rows_at_least: int = 10_000) -> Iterator[pa.Table]:
+    """Tables from batches in order of token, copy: each holds all rows that are no copies of every token it begins with; copies may go on in the next."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        token, last = batch.column("token").to_numpy(), batch.column("copy")[-1].as_py()
+        if rows < rows_at_least or (not last and token[0] == token[-1]):
+            continue
+        cut = batch.num_rows if last else int(np.searchsorted(token, token[-1], "left"))
+        yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut)])
+        held, rows = ([batch.slice(cut)], batch.num_rows - cut) if cut < batch.num_rows else ([], 0)
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _ranges(x: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -223,79 +202,82 @@ def _ranges(x: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return x[np.repeat(start, count) + place]
 
 
-def shard_passages(texts: DataFrame, length: int, shards: int) -> DataFrame:
-    """``shard, salt, reference, key, start, words``: passages of the reference, and those to stream, of texts with their runs (key, text, runs)."""
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            keys, runs = batch.column("key").to_pylist(), batch.column("runs").to_pylist()
-            rows: list[tuple] = []
-            for first, w in pieces(batch.column("text"), KIND):
-                words = w.hash.view(np.int64)
-                for d in range(len(w.doc) - 1):
-                    key = keys[first + d]
-                    if key in seen:
-                        continue
-                    seen.add(key)
-                    for start, count, shard, hot, mine in _joined(runs[first + d], key, shards):
-                        a = int(w.doc[d]) + start
-                        part = words[a : a + count + length - 1].tobytes()
-                        if hot:
-                            salts = range(1, SALTS + 1) if mine else (1 + (key >> 7) % SALTS,)
-                        else:
-                            # a window may be the owner of hot ones and of others
-                            salts = (0,)
-                        rows += [(shard, s, mine, key, start, part) for s in salts]
-            if rows:
-                yield pa.RecordBatch.from_pydict(dict(zip(("shard", "salt", "reference", "key", "start", "words"), zip(*rows, strict=True), strict=True)), schema=_PASSAGE)
-
-    return texts.mapInArrow(step, "shard int, salt int, reference boolean, key bigint, start int, words binary")
-
-
-_PASSAGE = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("reference", pa.bool_()), ("key", pa.int64()), ("start", pa.int32()), ("words", pa.binary())])
-
-
-def _joined(runs: list[dict], key: int, shards: int) -> list[list]:
-    """[start, count, shard, hot, mine] of runs that go on in the text and meet the same shard, as one."""
-    parts = sorted((r["start"], r["count"], (r["owner"] + (r["at"] // PART) * 0x9E3779B1) % shards, r["hot"], r["owner"] == key and r["at"] == r["start"]) for r in runs)
-    out: list[list] = []
-    for kind in sorted({p[2:] for p in parts}):
-        last: list | None = None
-        for start, count, *of in parts:
-            if tuple(of) != kind:
-                continue
-            if last and start <= last[0] + last[1]:
-                last[1] = max(last[1], start + count - last[0])
-            else:
-                last = [start, count, *of]
-                out.append(last)
+def repeated_spans(shard: list[np.ndarray], times: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """Of each passage (word hashes) of a shard, the spans of windows of ``length`` words that occur twice or more in it, where passages occur so many ``times``."""
+    sam = SuffixAutomaton()
+    texts = [p.tolist() for p in shard]
+    for words in sorted(texts, key=len, reverse=True):
+        if sam.matching(words)[-1] < len(words):
+            sam.add(words)
+    link, longest = sam.link, sam.length
+    window: dict[int, int] = {}  # state -> the state of its suffixes of ``length`` words
+    found: dict[int, int] = {}
+    ends: list[list[int]] = []
+    for words, n in zip(texts, times, strict=True):
+        states = sam.walk(words)[length - 1 :]
+        for i, s in enumerate(states):
+            if (at := window.get(s)) is None:
+                at = s
+                while longest[link[at]] >= length:
+                    at = link[at]
+                window[s] = at
+            states[i] = at
+            found[at] = found.get(at, 0) + n
+        ends.append(states)
+    out = []
+    for states in ends:
+        spans: list[tuple[int, int]] = []
+        for i, at in enumerate(states):
+            if found[at] > 1:
+                if spans and spans[-1][1] == i + length - 1:
+                    spans[-1] = (spans[-1][0], i + length)
+                else:
+                    spans.append((i, i + length))
+        out.append(spans)
     return out
 
 
-def match_shard(t: pa.Table, length: int) -> pa.Table:
-    """The automaton of one shard's passages, and spans (key, start, end in words) of at least ``length`` words that match it."""
-    sam, out = SuffixAutomaton(), []
-    for reference in (True, False):
-        part = t.filter(t.column("reference") if reference else pa.compute.invert(t.column("reference")))
-        for key, start, words in zip(part.column("key").to_pylist(), part.column("start").to_pylist(), part.column("words").to_pylist(), strict=True):
-            seq = np.frombuffer(words, np.int64).tolist()
-            if reference:
-                sam.add(seq)
-                out.append((key, start, start + len(seq)))  # repeated, or else it were no reference
-                continue
-            end = -1
-            for i, n in enumerate(sam.matching(seq), 1):
-                if n >= length:
-                    if end < i - length:
-                        if end >= 0:
-                            out.append((key, start + begin, start + end))
-                        begin = i - length
-                    end = i
-            if end >= 0:
-                out.append((key, start + begin, start + end))
-    a, b, c = zip(*out, strict=True) if out else ((), (), ())
-    return pa.table({"key": pa.array(a, pa.int64()), "start": pa.array(b, pa.int32()), "end": pa.array(c, pa.int32())})
+def shard_spans(dealt: DataFrame, length: int) -> DataFrame:
+    """``key, start, end`` of the spans to remove, of passages in order of token, copy, pid, whole tokens in one partition."""
+    size = SHARD
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last token's passages and their spans: its copies may go on
+        token0, pid0, spans0 = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        for t in _whole(batches):
+            token, pid, key, start, n = (t.column(c).to_numpy() for c in ("token", "pid", "key", "start", "n"))
+            head = ~t.column("copy").to_numpy().astype(bool)
+            new = _changes(token[head], pid[head])
+            at = np.cumsum(new) - 1
+            times = np.bincount(at, n[head]).astype(np.int64).tolist() if len(at) else []
+            words = t.column("words").combine_chunks().filter(pa.array(head))
+            have = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
+            reference = words.take(pa.array(have[np.unique(at[have], return_index=True)[1]]))
+            hashes = [w.hash[w.doc[d] : w.doc[d + 1]] for _, w in pieces(reference, KIND) for d in range(len(w.doc) - 1)]
+            tokens, pids, spans = token[head][new], pid[head][new], []
+            first = np.append(np.flatnonzero(_changes(tokens)), len(tokens)).tolist()
+            done = 0
+            for stop in first[1:]:
+                if stop - done >= size or stop == len(tokens):
+                    spans += repeated_spans(hashes[done:stop], times[done:stop], length)
+                    done = stop
+            at += len(token0)
+            tokens, pids, spans = np.concatenate([token0, tokens]), np.concatenate([pid0, pids]), [*spans0, *spans]
+            # passage of every row: passages stand in order of token and pid
+            of = np.empty(len(token), np.int64)
+            of[head] = at
+            ts, ps = np.unique(tokens), np.unique(pids)
+            rank = lambda a, b: np.searchsorted(ts, a) * len(ps) + np.searchsorted(ps, b)
+            of[~head] = np.searchsorted(rank(tokens, pids), rank(token[~head], pid[~head]))
+            count = np.array([len(x) for x in spans], np.int64)
+            flat = np.array([x for s in spans for x in s], np.int32).reshape(-1, 2)
+            row = np.repeat(np.arange(len(token)), count[of])
+            which = _ranges(np.arange(len(flat)), (np.cumsum(count) - count)[of], count[of])
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key[row]), "start": pa.array(start[row] + flat[which, 0]), "end": pa.array(start[row] + flat[which, 1])})
+            last = int(np.searchsorted(tokens, token[-1], "left"))
+            token0, pid0, spans0 = tokens[last:], pids[last:], spans[last:]
+
+    return dealt.mapInArrow(decide, "key bigint, start int, end int")
 
 
 def with_keys(texts: DataFrame, key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
@@ -309,16 +291,13 @@ def with_keys(texts: DataFrame, key: Callable[[str], Column] = F.xxhash64) -> Da
     return rows.select("id", "key", "text")
 
 
-def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 35, docs_per_shard: int = 1000, key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
+def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 35, key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
     """Per document: id, n_words, n_removed and kept (the words that stay, joined by one space)."""
-    shards = max(64, docs.count() // docs_per_shard)
     rows = with_keys(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), key)
     texts = rows.repartition("key")  # one exchange for the three times the texts are needed
     anchors = repeated_anchors(rows.select("key", "text"), length)
-    runs = owned_windows(texts.join(anchors, "key").select("key", "text", "places"), length)
-    runs = runs.groupBy("key").agg(F.collect_list(F.struct("start", "count", "owner", "at", "hot")).alias("runs"))
-    passages = shard_passages(texts.join(runs, "key").select("key", "text", "runs"), length, shards)
-    spans = passages.groupBy("shard", "salt").applyInArrow(lambda t: match_shard(t, length), "key bigint, start int, end int")
+    dealt = passages(texts.join(anchors, "key").select("key", "text", "places"), length).repartition("token").sortWithinPartitions("token", "copy", "pid")
+    spans = shard_spans(dealt, length)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
     out = texts.join(spans, "key", "left").join(copies, "key", "left")

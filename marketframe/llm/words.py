@@ -105,6 +105,14 @@ class Words:
         (``left() >= k`` tells those that stay within their text)."""
         return mix(rolling(self.hash, k))
 
+    def range_hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hash of the words a to b-1 of each pair of places, whatever their number."""
+        base, size = 0xD6E8FEB86659FD93, 1 << (len(self) + 1).bit_length()
+        up, down = _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
+        with np.errstate(over="ignore"):
+            total = np.concatenate([np.zeros(1, U), np.cumsum(self.hash * up[: len(self)], dtype=U)])
+            return mix((total[b] - total[a]) * down[a] + (b - a).astype(U))
+
     def text(self, i: int, j: int) -> bytes:
         """Words i to j-1, joined by one space."""
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[i:j], self.end[i:j], strict=True))
