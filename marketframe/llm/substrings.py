@@ -7,10 +7,11 @@ passages of which documents meet which shard, and nothing more:
 1. Anchors. Of every window, the 17-word gram of the smallest hash (a minimizer) is its anchor; equal windows have equal anchors at equal places. Anchors
    are dealt out by hash, and those that occur once drop out, and with them all their windows.
 2. Passages. The windows of one anchor's occurrence follow each other; the words they cover are its passage. Passages are dealt to shards by anchor, so all that can
-   match a window meets it in one shard, and each window of a text is in one passage. Equal passages of a task send their words once, the rest as fixed-size rows.
+   match a window meets it in one shard, and each window of a text is in one passage. Equal passages of a piece of text go as one, with their number: the others are
+   repeated whole, as the first will be found to be, and go on by text, so that a common passage is not one task's work. A task sends a passage's words once.
 3. Shards. A shard's distinct passages are its reference; those that are part of others add nothing to its automaton. All are streamed through it: the state where
    the statistic reaches ``length`` tells the window, and its occurrences are counted there. Windows with two or more are the spans to remove.
-   A shard is a run of whole anchors of about ``SHARD`` passages. Of one anchor a task holds the distinct passages; its occurrences stream by.
+   A shard is a run of whole anchors of about ``SHARD`` passages.
 4. Removal. The spans go back to the texts by key.
 
 Texts that occur twice are one text to all this (all their windows are repeated: they are removed whole if they have ``length`` words). The texts are shuffled
@@ -131,7 +132,7 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
 
 def passages(candidates: DataFrame, length: int) -> DataFrame:
     """``token, copy, pid, key, start, n, words``: the passages of repeated anchors of texts with their places (key, text, places). The first of the equal
-    passages of a piece (copy is false) tells their number n, and has the words if its task has not sent them yet."""
+    passages of a piece tells their number n, and has the words if its task has not sent them yet; the others are copies, dealt by text, and n their words."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -150,17 +151,18 @@ def passages(candidates: DataFrame, length: int) -> DataFrame:
                 token, key, pid = a.token[use], keys[first + a.owner[use]], w.range_hash(begin, end).view(np.int64)
                 order = np.lexsort((begin, pid, token))
                 new = _changes(token[order], pid[order])
-                n = np.zeros(len(use), np.int32)
+                n, copy = (end - begin).astype(np.int32), np.ones(len(use), bool)
+                copy[order[new]] = False
                 n[order[new]] = np.diff(np.append(np.flatnonzero(new), len(use)))
                 words: list[bytes | None] = [None] * len(use)
                 if len(sent) > SENT:
                     sent.clear()
-                for i in np.flatnonzero(n).tolist():
+                for i in np.flatnonzero(~copy).tolist():
                     if (name := (int(token[i]), int(pid[i]))) not in sent:
                         sent.add(name)
                         words[i] = w.data[int(w.start[begin[i]]) : int(w.end[end[i] - 1])].tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(token), pa.array(n == 0), pa.array(pid), pa.array(key), pa.array((begin - w.doc[a.owner[use]]).astype(np.int32)), pa.array(n), pa.array(words, pa.binary()),
+                    pa.array(np.where(copy, key, token)), pa.array(copy), pa.array(pid), pa.array(key), pa.array((begin - w.doc[a.owner[use]]).astype(np.int32)), pa.array(n), pa.array(words, pa.binary()),
                 ], names=["token", "copy", "pid", "key", "start", "n", "words"])
 
     return candidates.mapInArrow(emit, "token bigint, copy boolean, pid bigint, key bigint, start int, n int, words binary")
@@ -177,25 +179,6 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _whole(batches: Iterator[pa.RecordBatch], rows_at_least: int = 10_000) -> Iterator[pa.Table]:
-    """Tables from batches in order of token, copy: each holds all rows that are no copies of every token it begins with; copies may go on in the next."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
-        token, last = batch.column("token").to_numpy(), batch.column("copy")[-1].as_py()
-        if rows < rows_at_least or (not last and token[0] == token[-1]):
-            continue
-        cut = batch.num_rows if last else int(np.searchsorted(token, token[-1], "left"))
-        yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut)])
-        held, rows = ([batch.slice(cut)], batch.num_rows - cut) if cut < batch.num_rows else ([], 0)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _ranges(x: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """x[start:start+count] of each range, one after the other."""
     place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
@@ -238,44 +221,35 @@ def repeated_spans(shard: list[np.ndarray], times: list[int], length: int) -> li
 
 
 def shard_spans(dealt: DataFrame, length: int) -> DataFrame:
-    """``key, start, end`` of the spans to remove, of passages in order of token, copy, pid, whole tokens in one partition."""
+    """``key, start, end`` of the spans to remove, of passages in order of token, pid, whole tokens in one partition."""
     size = SHARD
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the last token's passages and their spans: its copies may go on
-        token0, pid0, spans0 = np.zeros(0, np.int64), np.zeros(0, np.int64), []
-        for t in _whole(batches):
+        for t in _groups(batches, 10_000):
+            copy = t.column("copy").to_numpy().astype(bool)
+            key, start, n = (t.column(c).to_numpy()[copy] for c in ("key", "start", "n"))
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key), "start": pa.array(start), "end": pa.array(start + n)})
+            t = t.filter(pa.array(~copy))
+            if not t.num_rows:
+                continue
             token, pid, key, start, n = (t.column(c).to_numpy() for c in ("token", "pid", "key", "start", "n"))
-            head = ~t.column("copy").to_numpy().astype(bool)
-            new = _changes(token[head], pid[head])
+            new = _changes(token, pid)
             at = np.cumsum(new) - 1
-            times = np.bincount(at, n[head]).astype(np.int64).tolist() if len(at) else []
-            words = t.column("words").combine_chunks().filter(pa.array(head))
+            times = np.bincount(at, n).astype(np.int64).tolist()
+            words = t.column("words").combine_chunks()
             have = np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False))
             reference = words.take(pa.array(have[np.unique(at[have], return_index=True)[1]]))
             hashes = [w.hash[w.doc[d] : w.doc[d + 1]] for _, w in pieces(reference, KIND) for d in range(len(w.doc) - 1)]
-            tokens, pids, spans = token[head][new], pid[head][new], []
-            first = np.append(np.flatnonzero(_changes(tokens)), len(tokens)).tolist()
-            done = 0
-            for stop in first[1:]:
-                if stop - done >= size or stop == len(tokens):
-                    spans += repeated_spans(hashes[done:stop], times[done:stop], length)
-                    done = stop
-            at += len(token0)
-            tokens, pids, spans = np.concatenate([token0, tokens]), np.concatenate([pid0, pids]), [*spans0, *spans]
-            # passage of every row: passages stand in order of token and pid
-            of = np.empty(len(token), np.int64)
-            of[head] = at
-            ts, ps = np.unique(tokens), np.unique(pids)
-            rank = lambda a, b: np.searchsorted(ts, a) * len(ps) + np.searchsorted(ps, b)
-            of[~head] = np.searchsorted(rank(tokens, pids), rank(token[~head], pid[~head]))
+            spans: list[list[tuple[int, int]]] = []
+            ends = np.append(np.flatnonzero(_changes(token[new])), len(hashes)).tolist()[1:]
+            for stop in ends:
+                if stop - len(spans) >= size or stop == len(hashes):
+                    spans += repeated_spans(hashes[len(spans) : stop], times[len(spans) : stop], length)
             count = np.array([len(x) for x in spans], np.int64)
             flat = np.array([x for s in spans for x in s], np.int32).reshape(-1, 2)
-            row = np.repeat(np.arange(len(token)), count[of])
-            which = _ranges(np.arange(len(flat)), (np.cumsum(count) - count)[of], count[of])
+            row = np.repeat(np.arange(len(token)), count[at])
+            which = _ranges(np.arange(len(flat)), (np.cumsum(count) - count)[at], count[at])
             yield pa.RecordBatch.from_pydict({"key": pa.array(key[row]), "start": pa.array(start[row] + flat[which, 0]), "end": pa.array(start[row] + flat[which, 1])})
-            last = int(np.searchsorted(tokens, token[-1], "left"))
-            token0, pid0, spans0 = tokens[last:], pids[last:], spans[last:]
 
     return dealt.mapInArrow(decide, "key bigint, start int, end int")
 
@@ -296,7 +270,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = with_keys(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), key)
     texts = rows.repartition("key")  # one exchange for the three times the texts are needed
     anchors = repeated_anchors(rows.select("key", "text"), length)
-    dealt = passages(texts.join(anchors, "key").select("key", "text", "places"), length).repartition("token").sortWithinPartitions("token", "copy", "pid")
+    dealt = passages(texts.join(anchors, "key").select("key", "text", "places"), length).repartition("token").sortWithinPartitions("token", "pid")
     spans = shard_spans(dealt, length)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)

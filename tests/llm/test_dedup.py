@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketframe.llm.components import components
 from marketframe.llm.jaccard import _again, jaccard_groups, keep_one, may_link
 from marketframe.llm.lines import line_dedup
-from marketframe.llm.substrings import _whole, repeated_spans, substring_dedup
+from marketframe.llm.substrings import repeated_spans, substring_dedup
 from tests.llm.data import WORD, documents, folded, frame
 
 
@@ -42,12 +42,12 @@ def test_substring_dedup_of_nothing(spark):
 
 
 def test_substring_dedup_in_small_shards_and_batches(spark, monkeypatch):
-    """Shards of few passages, and anchors whose copies go on over many batches."""
+    """Shards of few passages, and anchors over many batches."""
     from marketframe.llm import substrings
 
     monkeypatch.setattr(substrings, "SHARD", 2)  # closures carry it to the workers
-    whole = substrings._whole
-    monkeypatch.setattr(substrings, "_whole", lambda batches: whole(batches, 5))
+    groups = substrings._groups
+    monkeypatch.setattr(substrings, "_groups", lambda batches, *_: groups(batches, 5))
     shared = [" ".join(f"p{j}" for j in range(90)), " ".join(f"q{j}" for j in range(40)) + " end"]
     rows = [(i, f"{'l' * (i % 7)}{i} {shared[0]} r{i} " + "a b " * (i % 50) + (shared[1] if i % 3 else shared[1].replace("q7", f"q7x{i % 2}")), "a") for i in range(150)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
@@ -58,17 +58,6 @@ def test_substring_dedup_in_small_shards_and_batches(spark, monkeypatch):
     assert got == sorted(removed(rows, 35), key=repr)
 
 
-def test_tables_of_whole_anchors():
-    """Copies may be split off, what tells of a passage may not."""
-    rows = [(1, False), (1, False), (1, True), (2, False), (2, True), (2, True), (2, True), (3, False), (3, False), (3, False), (3, False), (4, False), (4, True)]
-    for size in (1, 2, 3, 5):
-        batches = [pa.RecordBatch.from_pydict(dict(zip(("token", "copy"), map(list, zip(*rows[i : i + size], strict=True)), strict=True))) for i in range(0, len(rows), size)]
-        got = [list(zip(t["token"].to_pylist(), t["copy"].to_pylist(), strict=True)) for t in _whole(iter(batches), 2)]
-        assert [r for t in got for r in t] == rows
-        heads = [{k for k, copy in t if not copy} for t in got]
-        assert sum(map(len, heads)) == len(set.union(*heads))
-
-
 def test_spans_of_a_shard_against_brute_force():
     rng = np.random.default_rng(4)
     for length in (2, 3, 5):
